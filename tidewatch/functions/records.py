@@ -29,12 +29,33 @@ FIELDS = "array<struct<name:string,key:string,value:string>>"
 
 
 def json_map(text: Column) -> Column:
-    """Top level of a JSON object as key -> JSON text; NULL for anything but an object."""
+    """Top level of a JSON object, or of an array by position, as key -> JSON text.
+
+    NULL for anything else; members that are JSON null are absent.
+    """
     parsed = F.try_parse_json(text)
-    is_object = F.ltrim(text).startswith("{") & parsed.isNotNull()
-    values = F.when(is_object, parsed).cast("map<string,variant>")
-    rendered = F.transform_values(values, lambda _, value: F.to_json(value))
-    return F.map_filter(rendered, lambda _, value: value.isNotNull() & (value != "null"))
+    start = F.ltrim(text)
+    members = F.transform_values(
+        F.when(start.startswith("{"), parsed).cast("map<string,variant>"),
+        lambda _, value: F.to_json(value),
+    )
+    items = F.map_from_entries(F.transform(
+        F.when(start.startswith("["), parsed).cast("array<variant>"),
+        lambda value, at: F.struct((at + 1).cast("string").alias("key"),
+                                   F.to_json(value).alias("value")),
+    ))
+    return F.map_filter(
+        F.coalesce(members, items), lambda _, value: value.isNotNull() & (value != "null")
+    )
+
+
+def json_object(**members: Column) -> Column:
+    """Map of the members that are not NULL; the values are JSON text."""
+    entries = F.array(*[
+        F.struct(F.lit(name).alias("key"), value.cast("string").alias("value"))
+        for name, value in members.items()
+    ])
+    return F.map_from_entries(F.filter(entries, lambda entry: entry["value"].isNotNull()))
 
 
 def sorted_entries(values: Column) -> Column:

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
-from tidewatch.functions.records import SUMMED, fold_key
-from tidewatch.functions.text import NUMBER, lua_number, number_json, text_json, utc_text
+from tidewatch.functions.records import SUMMED, fold_key, json_object
+from tidewatch.functions.text import lua_number, number_json, text_json, utc_text
 from tidewatch.plans.chains import OPENS, START, mark_chain
-from tidewatch.plans.ordered import HOT_ROWS, SLICE, arrange
+from tidewatch.plans.ordered import HOT_ROWS, arrange
 
 MICROS = 1_000_000
 FOLD_COLUMNS = ("repeats", "repeated_until", "is_rollup", "admit_at")
@@ -136,7 +136,6 @@ def rate_limit(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
         return df
     added = [name for name in ("admit_at", "is_rollup") if name not in df.columns]
     placed = _ceiling(_admission(df), limit, window, origin, source, ADMISSION_ORDER)
-    alone = F.col(source).isNull()
     return placed.filter(F.col("_place") <= limit).drop("_who", "_bucket", "_place", *added)
 
 
@@ -144,7 +143,6 @@ def rate_limit_report(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
                       window: float = fixed.LIMIT_SECONDS, origin: float = 0.0,
                       source: str = "actor.source", actor: str = "actor") -> DataFrame:
     """One row per player and window over the ceiling: how many were dropped and who sent them."""
-    schema_empty = limit <= 0
     rows = _admission(df)
     width, start = round(window * MICROS), round(origin * MICROS)
     bucket = F.floor((F.unix_micros("admit_at") - start) / width)
@@ -154,12 +152,11 @@ def rate_limit_report(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
     )
     over = players.groupBy("server_id", "source", "bucket").agg(
         F.count(F.lit(1)).alias("offered")
-    ).filter(F.lit(not schema_empty) & (F.col("offered") > limit))
+    ).filter(F.lit(limit > 0) & (F.col("offered") > limit))
     placed = Window.partitionBy("server_id", "source", "bucket").orderBy(*ADMISSION_ORDER)
     # The first row dropped is the one after the last kept, again cut before the shuffle.
     first_dropped = (
         players.withColumn("_place", F.row_number().over(placed))
-        .filter(F.col("_place") <= max(limit, 0) + 1)
         .filter(F.col("_place") == max(limit, 0) + 1)
         .select("server_id", "source", "bucket", "actor")
     )
@@ -203,3 +200,74 @@ def top_volume(df: DataFrame, k: int = 15, since: str | None = None, until: str
         "label", "events", "seconds",
         F.round(F.col("events") * 60 / F.col("seconds"), 6).alias("per_minute"),
     )
+
+
+def shaping_status(shaped: DataFrame, report: DataFrame) -> DataFrame:
+    """Totals: repeats folded away and rows over the ceiling; `shaped` is the folded frame."""
+    folded = shaped.agg(F.coalesce(F.sum("repeats"), F.lit(0)).alias("folded"))
+    limited = report.agg(F.coalesce(F.sum("dropped"), F.lit(0)).alias("limited"))
+    # Two one-row frames.
+    return folded.crossJoin(limited)
+
+
+def conservation_check(before: DataFrame, after: DataFrame, keys: Sequence[str],
+                       sums: Sequence[str] = SUMMED) -> DataFrame:
+    """Keys whose events or sums changed by folding; empty when nothing was lost or invented."""
+    def totals(df: DataFrame, suffix: str, events: Column) -> DataFrame:
+        return df.groupBy(*keys).agg(
+            F.sum(events).alias(f"events_{suffix}"),
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(f"{name}_{suffix}") for name in sums],
+        )
+
+    one = F.lit(1).cast("bigint")
+    offered = totals(before, "before", one)
+    kept = totals(after, "after", F.when(F.col("is_rollup"), F.col("repeats")).otherwise(one))
+    changed = reduce(
+        Column.__or__,
+        [~F.col(f"{name}_before").eqNullSafe(F.col(f"{name}_after")) for name in ("events", *sums)],
+    )
+    return offered.join(kept, list(keys), "full").filter(changed)
+
+
+def with_fold_columns(events: DataFrame) -> DataFrame:
+    """Canonical events with their fold key and the numbers folding adds up."""
+    return events.withColumns({
+        "fold_key": fold_key(F.col("context"), F.col("data")),
+        **{name: lua_number(json_number(F.element_at("data", name))) for name in SUMMED},
+    })
+
+
+def json_number(value: Column) -> Column:
+    """Text of a JSON number, or of a string holding one."""
+    return F.trim(F.translate(value, '"', " "))
+
+
+def fold_events(events: DataFrame, gap: float = fixed.GAP_SECONDS,
+                max_hold: float = fixed.HOLD_SECONDS, flush_at: str | None = None,
+                hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """`coalesce_repeats` over canonical events; totals and repeats go back into `data`."""
+    folded = coalesce_repeats(
+        with_fold_columns(events), ["server_id", "fold_key"], gap, max_hold, flush_at=flush_at,
+        hot_rows=hot_rows,
+    )
+    template = F.map_filter(F.col("data"), lambda key, _: ~key.isin(*SUMMED))
+    totals = {name: F.when(F.col(name).isNotNull(), number_json(F.col(name))) for name in SUMMED}
+    rolled = F.map_concat(
+        F.coalesce(template, F.create_map().cast("map<string,string>")),
+        json_object(**totals, repeats=F.col("repeats").cast("string"),
+                    repeatedUntil=text_json(utc_text(F.col("repeated_until")))),
+    )
+    return folded.withColumns({
+        "data": F.when(F.col("is_rollup"), rolled).otherwise(F.col("data")),
+        # Folding adds up balances like payments; such a total is no amount of money.
+        "total_is_additive": ~F.coalesce(F.col("action") == "balance_set", F.lit(False)),
+    })
+
+
+def shape_events(events: DataFrame, gap: float = fixed.GAP_SECONDS,
+                 max_hold: float = fixed.HOLD_SECONDS, limit: int = fixed.PLAYER_LIMIT,
+                 window: float = fixed.LIMIT_SECONDS, flush_at: str | None = None,
+                 hot_rows: int | None = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Fold, then cap each player: (rows admitted, reports of what the cap dropped)."""
+    folded = fold_events(events, gap, max_hold, flush_at, hot_rows)
+    return rate_limit(folded, limit, window), rate_limit_report(folded, limit, window)

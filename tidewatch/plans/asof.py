@@ -1,8 +1,9 @@
-"""As-of join: each probe meets the latest state of its key, in one sort and no range join."""
+"""As-of join: each probe meets the latest states of its key, in one sort and no range join."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,41 +11,57 @@ from pyspark.sql import functions as F
 from tidewatch.plans.ordered import HOT_ROWS, arrange
 
 
-def as_of(probes: DataFrame, states: DataFrame, keys: Sequence[str], at: str, state_at: str,
-          state: Column, name: str, seq: str, state_seq: str | None = None,
+@dataclass(frozen=True)
+class State:
+    """Rows that set `name` to the struct `value` from `at` on, for one key."""
+
+    df: DataFrame
+    keys: Sequence[str]
+    at: str
+    value: Column
+    name: str
+    seq: str | None = None
+
+
+def spread_nulls(key: Column, seq: Column, marker: str = "none:") -> Column:
+    """The key as text; NULL keys match nothing and are spread instead of meeting in one group."""
+    stray = F.concat(F.lit(marker), F.pmod(F.xxhash64(seq), F.lit(65536)).cast("string"))
+    return F.coalesce(F.concat(F.lit("key:"), key.cast("string")), stray)
+
+
+def as_of(probes: DataFrame, keys: Sequence[str], at: str, seq: str, states: Sequence[State],
           hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Probes with `name`: struct `state` of the last states row of the same key at or before.
+    """Probes with, per state, the value of its last row of the same key at or before the probe.
 
-    Both sides are stacked, sorted by (key, time, side, seq), and the last state is carried
-    forward; a state and a probe at the same instant meet. Probes whose key is NULL match nothing
-    and are spread over many groups instead of meeting in one.
+    Both sides are stacked, sorted by (key, time, side, seq), and the last values carried forward;
+    a state and a probe at the same instant meet. A reset is a state row whose struct is set but
+    whose fields are NULL.
     """
     columns = probes.columns
-    spread = F.pmod(F.xxhash64(F.col(seq)), F.lit(4096)).cast("string")
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
-    tagged = [f"_k{i}" for i in range(len(keys))]
-
-    def key_columns(stray: Column) -> list[Column]:
-        return [
-            F.when(missing, F.concat(F.lit("none:"), stray))
-            .otherwise(F.concat(F.lit("key:"), F.col(key).cast("string")))
-            .alias(tag)
-            for key, tag in zip(keys, tagged)
-        ]
-
-    left = probes.select(
-        *key_columns(spread), F.col(at).alias("_at"), F.lit(1).alias("_side"),
-        F.col(seq).cast("bigint").alias("_seq"), F.struct(*columns).alias("_probe"),
-    )
-    right = states.filter(~missing).select(
-        *key_columns(F.lit("")), F.col(state_at).alias("_at"), F.lit(0).alias("_side"),
-        (F.col(state_seq).cast("bigint") if state_seq else F.lit(0).cast("bigint")).alias("_seq"),
-        state.alias("_state"),
+    tags = [f"_k{i}" for i in range(len(keys))]
+    stacked = probes.select(
+        *[spread_nulls(F.col(key), F.col(seq)).alias(tag) for key, tag in zip(keys, tags)],
+        F.col(at).cast("timestamp").alias("_at"),
+        F.lit(1).alias("_side"),
+        F.col(seq).cast("bigint").alias("_seq"),
+        F.struct(*columns).alias("_probe"),
     )
-    stacked = left.unionByName(right, allowMissingColumns=True)
-    carried = arrange(stacked, tagged, ["_at", "_side", "_seq"], hot_rows).last_known(
-        F.col("_state"), "_known"
+    for state in states:
+        known = state.df.dropna(subset=list(state.keys))
+        stacked = stacked.unionByName(
+            known.select(
+                *[F.concat(F.lit("key:"), F.col(key).cast("string")).alias(tag)
+                  for key, tag in zip(state.keys, tags)],
+                F.col(state.at).cast("timestamp").alias("_at"),
+                F.lit(0).alias("_side"),
+                (F.col(state.seq) if state.seq else F.lit(0)).cast("bigint").alias("_seq"),
+                state.value.alias(f"_of_{state.name}"),
+            ),
+            allowMissingColumns=True,
+        )
+    rows = arrange(stacked, tags, ["_at", "_side", "_seq"], hot_rows)
+    for state in states:
+        rows = rows.last_known(F.col(f"_of_{state.name}"), f"_is_{state.name}")
+    return rows.df.filter(F.col("_side") == 1).select(
+        "_probe.*", *[F.col(f"_is_{state.name}").alias(state.name) for state in states]
     )
-    return carried.df.filter(F.col("_side") == 1).select("_probe.*", F.col("_known").alias(name))
