@@ -101,7 +101,7 @@ def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_
 
 
 def _ceiling(df: DataFrame, limit: int, window: float, origin: float, source: str,
-             order: Sequence[str]) -> DataFrame:
+             order: Sequence[Column]) -> DataFrame:
     """Rows numbered within (server, player, window); rows without a player stand alone."""
     width, start = round(window * MICROS), round(origin * MICROS)
     bucket = F.floor((F.unix_micros("admit_at") - start) / width)
@@ -121,7 +121,9 @@ def _admission(df: DataFrame) -> DataFrame:
     return df.withColumns({k: v for k, v in missing.items() if k not in df.columns})
 
 
-ADMISSION_ORDER = (F.col("admit_at"), F.col("is_rollup").desc(), F.col("arrival_seq"))
+def admission_order() -> list[Column]:
+    """Order in which rows reach the ceiling: a total closing at a moment goes before new rows."""
+    return [F.col("admit_at"), F.col("is_rollup").desc(), F.col("arrival_seq")]
 
 
 def rate_limit(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
@@ -135,7 +137,7 @@ def rate_limit(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
     if limit <= 0:
         return df
     added = [name for name in ("admit_at", "is_rollup") if name not in df.columns]
-    placed = _ceiling(_admission(df), limit, window, origin, source, ADMISSION_ORDER)
+    placed = _ceiling(_admission(df), limit, window, origin, source, admission_order())
     return placed.filter(F.col("_place") <= limit).drop("_who", "_bucket", "_place", *added)
 
 
@@ -153,7 +155,7 @@ def rate_limit_report(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
     over = players.groupBy("server_id", "source", "bucket").agg(
         F.count(F.lit(1)).alias("offered")
     ).filter(F.lit(limit > 0) & (F.col("offered") > limit))
-    placed = Window.partitionBy("server_id", "source", "bucket").orderBy(*ADMISSION_ORDER)
+    placed = Window.partitionBy("server_id", "source", "bucket").orderBy(*admission_order())
     # The first row dropped is the one after the last kept, again cut before the shuffle.
     first_dropped = (
         players.withColumn("_place", F.row_number().over(placed))
