@@ -21,7 +21,8 @@ from tidewatch.catalog.base import (
     sql_text,
     sql_weapon,
 )
-from tidewatch.functions.records import deep_bounded_map
+from tidewatch.functions.records import bound_maps
+from tidewatch.functions.text import json_scalar_text
 from tidewatch.operators.canonical import canonical_project, event_json
 from tidewatch.operators.exports import log_to_events
 from tidewatch.operators.identity import party
@@ -118,11 +119,11 @@ def _bounded(df):
         F.concat(F.array(F.lit("body")), keys),
         F.concat(F.array(fn.text_json(F.col("text"))), F.transform(keys, lambda k: fn.text_json(k))),
     )
-    kept = deep_bounded_map(wide)
-    body = F.get_json_object(F.concat(F.lit('{"v":'), F.element_at(kept, "body"), F.lit("}")), "$.v")
-    return df.select(
-        "id", F.size(kept).alias("entries"), F.array_join(F.array_sort(F.map_keys(kept)), ",").alias("names"),
-        F.md5(body).alias("body"),
+    kept = bound_maps(df.select("id", wide.alias("kept")), ["kept"])
+    return kept.select(
+        "id", F.size("kept").alias("entries"),
+        F.array_join(F.array_sort(F.map_keys("kept")), ",").alias("names"),
+        F.md5(json_scalar_text(F.element_at("kept", "body"))).alias("body"),
     )
 
 

@@ -10,13 +10,14 @@ import json
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
 from tidewatch.functions.text import (
     cut_bytes,
     json_scalar_text,
+    let,
     lua_number,
     money_json,
     normalise_action,
@@ -33,20 +34,22 @@ def json_map(text: Column) -> Column:
 
     NULL for anything else; members that are JSON null are absent.
     """
-    parsed = F.try_parse_json(text)
-    start = F.ltrim(text)
-    members = F.transform_values(
-        F.when(start.startswith("{"), parsed).cast("map<string,variant>"),
-        lambda _, value: F.to_json(value),
-    )
-    items = F.map_from_entries(F.transform(
-        F.when(start.startswith("["), parsed).cast("array<variant>"),
-        lambda value, at: F.struct((at + 1).cast("string").alias("key"),
-                                   F.to_json(value).alias("value")),
-    ))
-    return F.map_filter(
-        F.coalesce(members, items), lambda _, value: value.isNotNull() & (value != "null")
-    )
+    def top_level(parsed: Column) -> Column:
+        kind = F.schema_of_variant(parsed)
+        members = F.transform_values(
+            F.when(kind.startswith("OBJECT"), parsed).cast("map<string,variant>"),
+            lambda _, value: F.to_json(value),
+        )
+        items = F.map_from_entries(F.transform(
+            F.when(kind.startswith("ARRAY"), parsed).cast("array<variant>"),
+            lambda value, at: F.struct((at + 1).cast("string").alias("key"),
+                                       F.to_json(value).alias("value")),
+        ))
+        return F.map_filter(
+            F.coalesce(members, items), lambda _, value: value.isNotNull() & (value != "null")
+        )
+
+    return let(F.try_parse_json(text), top_level)
 
 
 def json_object(**members: Column) -> Column:
@@ -74,9 +77,10 @@ def canonical_json(values: Column) -> Column:
 
 
 def _bounded_value(value: Column) -> Column:
-    plain = json_scalar_text(value)
-    too_long = value.startswith('"') & (F.octet_length(plain) > fixed.MAX_STRING_BYTES)
-    return F.when(too_long, text_json(cut_bytes(plain, fixed.MAX_STRING_BYTES))).otherwise(value)
+    # JSON text is never shorter than the string it stands for, so most values are done here.
+    maybe_long = value.startswith('"') & (F.octet_length(value) > fixed.MAX_STRING_BYTES + 2)
+    cut = let(json_scalar_text(value), lambda text: text_json(cut_bytes(text, fixed.MAX_STRING_BYTES)))
+    return F.when(maybe_long, cut).otherwise(value)
 
 
 def bounded_map(values: Column, max_keys: int = fixed.MAX_KEYS) -> Column:
@@ -135,49 +139,58 @@ def bounded_copy(text: Column, max_keys: int = fixed.MAX_KEYS, depth: int = 0) -
     return bound(text)
 
 
-def deep_bounded_map(values: Column, max_keys: int = fixed.MAX_KEYS) -> Column:
-    """`bounded_map`, with nested objects and arrays bounded too.
+def bound_maps(df: DataFrame, names: Sequence[str], max_keys: int = fixed.MAX_KEYS,
+               deep: bool = True) -> DataFrame:
+    """`df` with the named maps bounded, at every depth if `deep`.
 
     Only maps holding a nested value are handed to the UDF; the rest stay in the JVM.
     """
-    nested = F.exists(F.map_values(values), lambda v: v.startswith("{") | v.startswith("["))
-    deep = bounded_copy(F.when(nested, canonical_json(values)), max_keys)
-    return F.when(F.coalesce(nested, F.lit(False)), json_map(deep)).otherwise(
-        bounded_map(values, max_keys)
-    )
+    if not deep:
+        return df.withColumns({name: bounded_map(F.col(name), max_keys) for name in names})
+    columns = df.columns
+    for name in names:
+        nested = F.exists(F.map_values(name), lambda v: v.startswith("{") | v.startswith("["))
+        df = df.withColumn(f"_nested_{name}", F.when(nested, canonical_json(F.col(name))))
+    df = df.withColumns({f"_deep_{name}": bounded_copy(F.col(f"_nested_{name}"), max_keys)
+                         for name in names})
+    bounded = {
+        name: F.when(F.col(f"_nested_{name}").isNotNull(), json_map(F.col(f"_deep_{name}")))
+        .otherwise(bounded_map(F.col(name), max_keys))
+        for name in names
+    }
+    return df.select(*[bounded[name].alias(name) if name in bounded else name for name in columns])
 
 
 def first_entries(entries: Column) -> Column:
     """Map of key/value structs in which the first entry of a key wins."""
-    keys = F.transform(entries, lambda entry: entry["key"])
-    firsts = F.filter(
-        entries, lambda entry, at: F.array_position(keys, entry["key"]) == at + 1
-    )
-    return F.map_from_entries(firsts)
+    def firsts(rows: Column, keys: Column) -> Column:
+        return F.filter(rows, lambda entry, at: F.array_position(keys, entry["key"]) == at + 1)
+
+    return let(entries, lambda rows: F.map_from_entries(let(
+        F.transform(rows, lambda entry: entry["key"]), lambda keys: firsts(rows, keys))))
 
 
 def merge_maps(base: Column, extra: Column) -> Column:
     """Keys of `extra` added to `base` where `base` has none."""
     empty = F.create_map().cast(TEXT_MAP)
-    known = F.coalesce(base, empty)
-    added = F.map_filter(
-        F.coalesce(extra, empty), lambda key, _: ~F.map_contains_key(known, key)
-    )
-    return F.map_concat(known, added)
+    return let(F.coalesce(base, empty), lambda known: F.map_concat(known, F.map_filter(
+        F.coalesce(extra, empty), lambda key, _: ~F.map_contains_key(known, key))))
 
 
 def fields_to_data(fields: Column, data: Column) -> Column:
     """Webhook fields flattened into data: explicit data first, then earlier fields."""
     aliases = F.create_map(*[F.lit(p) for pair in fixed.FIELD_ALIASES.items() for p in pair])
 
-    def assignments(field: Column) -> Column:
-        key = normalise_action(F.coalesce(field["name"], field["key"]))
-        value = money_json(field["value"])
+    def assigned(key: Column, value: Column) -> Column:
         return F.array(
             F.struct(key.alias("key"), value.alias("value")),
             F.struct(F.element_at(aliases, key).alias("key"), value.alias("value")),
         )
 
+    def assignments(field: Column) -> Column:
+        return let(normalise_action(F.coalesce(field["name"], field["key"])),
+                   lambda key: let(money_json(field["value"]), lambda value: assigned(key, value)))
+
     entries = F.filter(
         F.flatten(F.transform(fields, assignments)),
         lambda entry: entry["key"].isNotNull() & entry["value"].isNotNull(),
@@ -191,18 +204,22 @@ SLOT_SCHEMA = "struct<name:string,label:string,count:string,slot:string,metadata
 def read_slot(slot: Column, include_metadata: bool = True,
               max_keys: int = fixed.MAX_METADATA_KEYS) -> Column:
     """struct(name, label, count, slot, metadata) of a slot object or a bare slot number."""
-    parsed = F.from_json(F.when(F.ltrim(slot).startswith("{"), slot), SLOT_SCHEMA)
-    metadata = F.lit(None).cast("string")
-    if include_metadata and max_keys > 0:
-        kept = bounded_map(json_map(parsed["metadata"]), max_keys)
-        metadata = F.when(F.size(kept) > 0, canonical_json(kept))
-    return F.struct(
-        short_text(parsed["name"], 64).alias("name"),
-        short_text(parsed["label"], 64).alias("label"),
-        lua_number(parsed["count"]).alias("count"),
-        F.coalesce(lua_number(parsed["slot"]), lua_number(json_scalar_text(slot))).alias("slot"),
-        metadata.alias("metadata"),
-    )
+    def fields(parsed: Column) -> Column:
+        metadata = F.lit(None).cast("string")
+        if include_metadata and max_keys > 0:
+            metadata = let(
+                bounded_map(json_map(parsed["metadata"]), max_keys),
+                lambda kept: F.when(F.size(kept) > 0, canonical_json(kept)),
+            )
+        return F.struct(
+            short_text(parsed["name"], 64).alias("name"),
+            short_text(parsed["label"], 64).alias("label"),
+            lua_number(parsed["count"]).alias("count"),
+            F.coalesce(lua_number(parsed["slot"]), lua_number(json_scalar_text(slot))).alias("slot"),
+            metadata.alias("metadata"),
+        )
+
+    return let(F.from_json(F.when(F.ltrim(slot).startswith("{"), slot), SLOT_SCHEMA), fields)
 
 
 def metadata_json(metadata: Column, max_keys: int = fixed.MAX_METADATA_KEYS) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +16,11 @@ HEX_TEXT = r"^[ \t-\r]*[+-]?0[xX][0-9a-fA-F]{1,15}[ \t-\r]*$"
 MONEY_TEXT = r"^\$?[0-9,]+\.?[0-9]*$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once per row, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only, so U+212A and friends never become ASCII letters."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

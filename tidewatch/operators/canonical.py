@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.records import (
-    bounded_map,
+    bound_maps,
     canonical_json,
-    deep_bounded_map,
     event_id,
     fields_to_data,
     json_object,
@@ -39,13 +38,14 @@ def canonical_project(drafts: DataFrame, deep: bool = True) -> DataFrame:
 
     `deep=False` promises that no context or data value is nested, and keeps Python out of it.
     """
-    bound = deep_bounded_map if deep else bounded_map
+    rows = bound_maps(
+        drafts.withColumn("data", fields_to_data(F.col("fields"), F.col("data"))),
+        ["context", "data"], deep=deep,
+    )
     resource = short_text(F.coalesce("resource", F.lit(SELF)), 64)
     context = F.map_concat(
-        F.map_filter(
-            F.coalesce(bound(F.col("context")), F.create_map().cast("map<string,string>")),
-            lambda key, _: key != "resource",
-        ),
+        F.coalesce(F.map_filter("context", lambda key, _: key != "resource"),
+                   F.create_map().cast("map<string,string>")),
         json_object(resource=text_json(resource)),
     )
     given_at = F.try_to_timestamp(F.col("occurred_at"))
@@ -53,7 +53,7 @@ def canonical_project(drafts: DataFrame, deep: bool = True) -> DataFrame:
     def resolved(name: str) -> Column:
         return F.col(name) if name in drafts.columns else F.lit(None).cast(PARTY)
 
-    return drafts.select(
+    return rows.select(
         "server_id", "arrival_seq", "received_at",
         event_id(F.col("event_id"), F.col("server_id"), F.col("arrival_seq"), F.col("kind")).alias("event_id"),
         F.coalesce(given_at, F.date_trunc("second", "received_at")).alias("occurred_at"),
@@ -62,7 +62,7 @@ def canonical_project(drafts: DataFrame, deep: bool = True) -> DataFrame:
         normalise_severity(F.col("severity")).alias("severity"),
         resolved("actor").alias("actor"), resolved("target").alias("target"),
         context.alias("context"),
-        bound(fields_to_data(F.col("fields"), F.col("data"))).alias("data"),
+        "data",
         *[short_text(F.col(name)).alias(name)
           for name in ("correlation_id", "transaction_id", "session_id", "entity_id")],
     )

@@ -12,6 +12,7 @@ from tidewatch.functions.records import json_map
 from tidewatch.functions.text import (
     ascii_lower,
     json_scalar_text,
+    let,
     lua_number,
     normalise_action,
     weapon_flag,
@@ -28,23 +29,27 @@ def _is_table(value: Column) -> Column:
 
 def event_reason(members: Column) -> Column:
     """Why an export record (JSON members) is refused, or NULL; the first rule that fails."""
-    at = {name: F.element_at(members, name) for name in
-          ("context", "data", "fields", "action", "channel", "category")}
-    action = F.when(_is_text(at["action"]), normalise_action(json_scalar_text(at["action"])))
-    channel, category = at["channel"], at["category"]
-    no_channel = channel.isNull()
-    known = json_scalar_text(category).isin(*fixed.CATEGORIES)
-    return (
-        F.when(members.isNull(), "not_a_table")
-        .when(~_is_table(at["context"]), "bad_context")
-        .when(~_is_table(at["data"]), "bad_data")
-        .when(~_is_table(at["fields"]), "bad_fields")
-        .when(action.isNull(), "missing_action")
-        .when(~_is_text(channel) | (channel == '""'), "bad_channel")
-        .when(~_is_text(category), "bad_category")
-        .when(no_channel & category.isNull(), "no_destination")
-        .when(no_channel & ~known, "unknown_category")
-    )
+    names = ("context", "data", "fields", "action", "channel", "category")
+
+    def rules(given: Column) -> Column:
+        at = {name: F.element_at(given, name) for name in names}
+        action = F.when(_is_text(at["action"]), normalise_action(json_scalar_text(at["action"])))
+        channel, category = at["channel"], at["category"]
+        no_channel = channel.isNull()
+        known = json_scalar_text(category).isin(*fixed.CATEGORIES)
+        return (
+            F.when(given.isNull(), "not_a_table")
+            .when(~_is_table(at["context"]), "bad_context")
+            .when(~_is_table(at["data"]), "bad_data")
+            .when(~_is_table(at["fields"]), "bad_fields")
+            .when(action.isNull(), "missing_action")
+            .when(~_is_text(channel) | (channel == '""'), "bad_channel")
+            .when(~_is_text(category), "bad_category")
+            .when(no_channel & category.isNull(), "no_destination")
+            .when(no_channel & ~known, "unknown_category")
+        )
+
+    return let(members, rules)
 
 
 def validate_event(df: DataFrame, payload: str = "payload") -> DataFrame:
