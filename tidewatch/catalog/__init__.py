@@ -6,9 +6,9 @@ from tidewatch.catalog.base import Query
 
 
 def entries() -> dict[str, Query]:
-    from tidewatch.catalog import scalars
+    from tidewatch.catalog import collectors, scalars
 
     found: dict[str, Query] = {}
-    for module in (scalars,):
+    for module in (scalars, collectors):
         found.update(module.entries())
     return found
