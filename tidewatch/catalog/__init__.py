@@ -6,9 +6,9 @@ from tidewatch.catalog.base import Query
 
 
 def entries() -> dict[str, Query]:
-    from tidewatch.catalog import collectors, scalars
+    from tidewatch.catalog import collectors, rules, scalars
 
     found: dict[str, Query] = {}
-    for module in (scalars, collectors):
+    for module in (scalars, collectors, rules):
         found.update(module.entries())
     return found
