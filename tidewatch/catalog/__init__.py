@@ -6,9 +6,9 @@ from tidewatch.catalog.base import Query
 
 
 def entries() -> dict[str, Query]:
-    from tidewatch.catalog import collectors, rules, scalars
+    from tidewatch.catalog import collectors, rules, scalars, shaping
 
     found: dict[str, Query] = {}
-    for module in (scalars, collectors, rules):
+    for module in (scalars, collectors, rules, shaping):
         found.update(module.entries())
     return found

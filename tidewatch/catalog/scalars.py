@@ -11,13 +11,11 @@ from tidewatch.catalog.base import (
     MOVES,
     Query,
     duck,
-    frame,
     over,
     sql_action,
     sql_number,
     sql_object,
     sql_short,
-    sql_stamp,
     sql_text,
     sql_weapon,
 )
@@ -25,7 +23,6 @@ from tidewatch.functions.records import bound_maps
 from tidewatch.functions.text import json_scalar_text
 from tidewatch.operators.canonical import canonical_project, event_json
 from tidewatch.operators.exports import log_to_events
-from tidewatch.operators.identity import party
 
 TITLES = """
 SELECT 'part' AS origin, p_partkey AS id, ' [' || upper(p_name) || '] ' AS title FROM $part
@@ -138,14 +135,6 @@ FROM ({EVENTS}) AS raw
 """
 
 
-def canonical_events(spark, sf):
-    """Canonical events of the given events table, with the user as the acting player."""
-    raw = frame(spark, sf, CANON)
-    drafts = log_to_events(raw).withColumn(
-        "actor", party(source=F.regexp_extract("actor_ref", "[0-9]+", 0)))
-    return canonical_project(drafts)
-
-
 def _canonical(df):
     rows = canonical_project(log_to_events(df))
     return rows.select(
