@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
+from tidewatch.catalog import collectors, delivery, identity, rules, scalars, shaping
 from tidewatch.catalog.base import Query
 
+MODULES = (scalars, rules, collectors, identity, shaping, delivery)
 
-def entries() -> dict[str, Query]:
-    from tidewatch.catalog import collectors, rules, scalars, shaping
 
-    found: dict[str, Query] = {}
-    for module in (scalars, collectors, rules, shaping):
-        found.update(module.entries())
-    return found
+def entries() -> dict[str, Query]:
+    return {name: query for module in MODULES for name, query in module.entries().items()}

@@ -143,7 +143,7 @@ FROM ({MOVES}) AS moves
 
 CONNECTIONS = """
 SELECT CAST(o_custkey % 3 AS STRING) AS server_id, o_custkey % 97 AS source, 'joining' AS event,
-       CAST(o_orderdate AS TIMESTAMP) AS at, o_orderkey AS seq, c_name AS name,
+       CAST(o_orderdate AS TIMESTAMP) AS received_at, o_orderkey AS arrival_seq, c_name AS name,
        'license:' || CAST(o_custkey AS STRING) AS license, c_custkey AS customer
 FROM $orders JOIN $customer ON o_custkey = c_custkey
 UNION ALL

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import fixed
 from tidewatch.functions.records import json_map
-from tidewatch.functions.text import json_scalar_text, lua_number, short_text
+from tidewatch.functions.text import NUMBER, json_scalar_text, lua_number, short_text
 from tidewatch.plans.asof import State, as_of, spread_nulls
 from tidewatch.plans.ordered import HOT_ROWS, arrange
 
@@ -37,14 +37,15 @@ def pivot_identifiers(identifiers: Column) -> Column:
 def session_intervals(connections: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Sessions [joined_at, ended_at) of recycled server ids.
 
-    `connections` has server_id, source, event (joining or dropped), at, seq, name, identifiers.
+    `connections` has server_id, source, event (joining or dropped), received_at, arrival_seq,
+    name and identifiers.
     A join ends whatever was open under the id; a session without a later record is still open.
     """
     kept = connections.filter(F.col("event").isin("joining", "dropped"))
-    rows = arrange(kept, ["server_id", "source"], ["at", "seq"], hot_rows)
-    return rows.following(F.col("at"), "ended_at").df.filter(F.col("event") == "joining").select(
-        "server_id", "source", "name", "identifiers", F.col("at").alias("joined_at"),
-        F.col("seq").alias("joined_seq"), "ended_at",
+    rows = arrange(kept, ["server_id", "source"], ["received_at", "arrival_seq"], hot_rows)
+    return rows.following(F.col("received_at"), "ended_at").df.filter(F.col("event") == "joining").select(
+        "server_id", "source", "name", "identifiers", F.col("received_at").alias("joined_at"),
+        F.col("arrival_seq").alias("joined_seq"), "ended_at",
     )
 
 
@@ -127,7 +128,7 @@ def owner_fallback(events: DataFrame, inventories: DataFrame, inventory_id: str,
     owners = inventories.filter(F.col("owner").isNotNull()).select(
         F.col("server_id").alias("_owner_server"),
         F.concat(F.lit("key:"), F.col("id").cast("string")).alias("_owner_id"),
-        short_text(F.col("owner"), 64).alias("_owner"),
+        short_text(F.col("owner"), 64).alias("_owner_found"),
     ).dropDuplicates(["_owner_server", "_owner_id"])
     probed = events.withColumn("_owner_key", spread_nulls(looked_up, F.col(seq)))
     joined = probed.join(
@@ -137,8 +138,8 @@ def owner_fallback(events: DataFrame, inventories: DataFrame, inventory_id: str,
     )
     text_owner = F.nullif(F.col(inventory_id).cast("string"), F.lit(""))
     return joined.withColumn(
-        name, F.when(number.isNotNull(), F.col("_owner")).otherwise(text_owner)
-    ).drop("_owner_key", "_owner_server", "_owner_id", "_owner")
+        name, F.when(number.isNotNull(), F.col("_owner_found")).otherwise(text_owner)
+    ).drop("_owner_key", "_owner_server", "_owner_id", "_owner_found")
 
 
 def resolve_party(events: DataFrame, ref: str, lookup: str, name: str, sessions: DataFrame,
@@ -153,69 +154,81 @@ def resolve_party(events: DataFrame, ref: str, lookup: str, name: str, sessions:
     """
     columns = events.columns
     is_object = F.col(ref).startswith("{")
-    plain = F.when(~is_object, json_scalar_text(F.col(ref)))
-    number = lua_number(plain)
+    rows = events.withColumns({
+        "_text": F.when(~is_object, json_scalar_text(F.col(ref))),
+        "_members": json_map(F.when(is_object, F.col(ref))),
+        "_preferred": lua_number(F.col(net_id)) if net_id else F.lit(None).cast(NUMBER),
+    })
+    rows = rows.withColumns({
+        "_number": lua_number(F.col("_text")),
+        "_given": lua_number(json_scalar_text(F.element_at("_members", "source"))),
+    })
     by_player = F.col(lookup) == "player"
-    coded = F.when(number.isNull() & ~by_player & plain.contains(":"), plain)
-    rows = events.withColumns({"_text": plain, "_number": number, "_coded": coded,
-                               "_members": json_map(F.when(is_object, F.col(ref)))})
+    coded = F.col("_number").isNull() & ~by_player & F.col("_text").contains(":")
+    rows = rows.withColumn("_coded", F.when(coded, F.col("_text")))
     rows = source_by_identifier(rows, characters, "_coded", at, seq, "_played", hot_rows)
 
-    given = lua_number(json_scalar_text(F.element_at("_members", "source")))
-    whole = F.coalesce(F.col("_number"), given, F.col("_played").cast("bigint"))
-    preferred = lua_number(F.col(net_id)) if net_id else F.lit(None)
-    source = F.coalesce(preferred, whole)
+    source = F.coalesce("_preferred", "_number", "_given", F.col("_played").cast("bigint"))
     rows = rows.withColumn("_source", F.when(source > 0, source.cast("int")))
     states = [_session_state(sessions, "_session"), _character_state(characters, "_character")]
     rows = as_of(rows, ["server_id", "_source"], at, seq, states, hot_rows)
     rows = rows.withColumn("_session", _open_at(F.col("_session"), F.col(at), closing))
-    online = player_party(F.col("_source"), F.col("_session"), F.col("_character"))
-    rows = rows.withColumn("_online", online)
+    rows = rows.withColumn(
+        "_online", player_party(F.col("_source"), F.col("_session"), F.col("_character"))
+    )
+    offline = F.col("_online").isNull()
     if inventories is not None:
-        inventory = F.when(by_player & F.col("_online").isNull(), F.col("_text"))
-        rows = owner_fallback(rows.withColumn("_inventory", inventory), inventories, "_inventory",
-                              seq, "_owner").drop("_inventory")
+        rows = rows.withColumn("_inventory", F.when(by_player & offline, F.col("_text")))
+        rows = owner_fallback(rows, inventories, "_inventory", seq, "_owner")
     else:
         named = F.when(F.col("_number").isNull(), F.nullif(F.col("_text"), F.lit("")))
         rows = rows.withColumn("_owner", named)
 
-    still = F.col("_online.identifier").eqNullSafe(F.col("_coded"))
-    short = short_text(F.col("_text"))
-    text_party = (
-        F.when(F.col("_coded").isNull(), party(name=short))
-        .when(still & F.col("_online").isNotNull(), F.col("_online"))
-        .when(F.col("_text").startswith("license:"), party(license=short))
-        .otherwise(party(identifier=short, character_id=short))
-    )
-    scripted = (
-        F.when(F.col("_number") == 0, party(name=F.lit("Console")))
-        .when(F.col("_number").isNotNull(), F.col("_online"))
-        .when(F.col("_text") != "", text_party)
-    )
-    owned = F.when(
-        F.col("_owner").isNotNull(), party(identifier=F.col("_owner"), character_id=F.col("_owner"))
-    )
-    held = F.when((F.col("_number") > 0) & F.col("_online").isNotNull(), F.col("_online")).otherwise(owned)
-    explicit = _explicit_party(F.col("_members"), given, F.col("_online"))
-    resolved = (
-        F.when(F.col("_members").isNotNull(), explicit)
-        .when(by_player, held)
-        .otherwise(scripted)
+    # First what kind of party it is, then its fields: every field is one short CASE on the kind.
+    playing = F.col("_coded").eqNullSafe(F.col("_online.identifier"))
+    kind = (
+        F.when(F.col("_preferred").isNotNull() & ~offline, "online")
+        .when(F.col("_members").isNotNull(), "explicit")
+        .when(by_player & (F.col("_number") > 0) & ~offline, "online")
+        .when(by_player, F.when(F.col("_owner").isNotNull(), "owner"))
+        .when(F.col("_number") == 0, "console")
+        .when(F.col("_number").isNotNull(), F.when(~offline, "online"))
+        .when(F.col("_text") == "", F.lit(None))
+        .when(F.col("_coded").isNull(), F.when(F.col("_text").isNotNull(), "name"))
+        .when(playing & ~offline, "online")
+        .when(F.col("_text").startswith("license:"), "license")
+        .otherwise("character")
     )
-    if net_id:
-        connected = lua_number(F.col(net_id)).isNotNull() & F.col("_online").isNotNull()
-        resolved = F.when(connected, F.col("_online")).otherwise(resolved)
-    return rows.select(*columns, resolved.alias(name))
+    rows = rows.withColumns({"_kind": kind, "_fields": _explicit_fields(), "_short": short_text(F.col("_text"))})
+    return rows.select(*columns, _party_of_kind().alias(name))
 
 
-def _explicit_party(members: Column, given: Column, online: Column) -> Column:
-    """Explicit fields over those of the player they name; NULL when nothing is left."""
+def _explicit_fields() -> Column:
+    """Texts of an explicit party in field order: its own, else those of the player it names."""
     keys = {"character_id": "characterId"}
-    base = F.when(given.isNotNull(), online)
-    fields = {}
-    for name in PARTY_TEXT:
-        own = json_scalar_text(F.element_at(members, keys.get(name, name)))
-        fields[name] = F.when(own.isNotNull(), short_text(own)).otherwise(short_text(base[name]))
-    source = F.coalesce(given.cast("int"), base["source"])
-    some = F.coalesce(source.cast("string"), *fields.values()).isNotNull()
-    return F.when(some, party(source=source, **fields))
+    texts = F.array(*[
+        F.coalesce(
+            json_scalar_text(F.element_at("_members", keys.get(name, name))),
+            F.when(F.col("_given").isNotNull(), F.col(f"_online.{name}")),
+        ) for name in PARTY_TEXT
+    ])
+    return F.when(F.col("_members").isNotNull(), F.transform(texts, lambda text: short_text(text)))
+
+
+def _party_of_kind() -> Column:
+    kind = F.col("_kind")
+    fields = {"source": F.when(kind == "online", F.col("_online.source")).when(
+        kind == "explicit", F.coalesce(F.col("_given").cast("int"), F.col("_online.source")))}
+    for i, name in enumerate(PARTY_TEXT):
+        value = F.when(kind == "online", F.col(f"_online.{name}")).when(
+            kind == "explicit", F.col("_fields")[i])
+        if name == "name":
+            value = value.when(kind == "console", "Console").when(kind == "name", F.col("_short"))
+        elif name == "license":
+            value = value.when(kind == "license", F.col("_short"))
+        elif name in ("identifier", "character_id"):
+            value = value.when(kind == "owner", F.col("_owner")).when(kind == "character", F.col("_short"))
+        fields[name] = value
+    bare = F.col("_given").isNull() & F.forall("_fields", lambda text: text.isNull())
+    absent = kind.isNull() | ((kind == "explicit") & bare)
+    return F.when(~absent, party(**fields))

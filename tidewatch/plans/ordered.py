@@ -22,6 +22,8 @@ SLICE = "_slice"
 HOT_ROWS = 5_000_000
 # At most this many keys are treated as hot; any other key holds under 1/1000 of the rows.
 HOT_KEYS = 1_000
+# Input under this many bytes per hot row needs no count: all of it fits one task.
+SMALL_ROW_BYTES = 16
 # Slices of all hot keys together, which bounds the carried table that is broadcast.
 MAX_SLICES = 20_000
 
@@ -120,6 +122,18 @@ class Ordered:
         return self.replace(joined.withColumn(name, patched).drop("_edge", "_carried"))
 
 
+def _surely_small(df: DataFrame, hot_rows: int) -> bool:
+    """Whether Spark's own size estimate leaves no room for a key that one task could not hold.
+
+    The estimate errs upward for joins. It only decides if keys are counted, never a result.
+    """
+    try:
+        estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except AttributeError:  # no classic session behind the frame
+        return False
+    return int(str(estimate)) < hot_rows * SMALL_ROW_BYTES
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list:
     """Keys with more than `hot_rows` rows, the largest first, HOT_KEYS at most."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
@@ -132,13 +146,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> li
 
 
 def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-            hot_rows: int | None = HOT_ROWS) -> Ordered:
+            hot_rows: int | None = HOT_ROWS, counted: DataFrame | None = None) -> Ordered:
     """Prepare `df` for ordered scans by `keys`; keys and order columns must not be NULL.
 
-    `hot_rows=None` promises that no key is hot and saves the count.
+    `hot_rows=None` promises that no key is hot and saves the count. `counted` is a frame that is
+    cheaper than `df` and has nearly the same keys; a hot key it misses costs time, not rows.
     """
     keys, order = tuple(keys), tuple(order)
-    found = hot_keys(df, keys, hot_rows) if hot_rows is not None else []
+    found = []
+    if hot_rows is not None and not _surely_small(df, hot_rows):
+        found = hot_keys(df if counted is None else counted, keys, hot_rows)
     if not found:
         return Ordered(df.withColumn(SLICE, F.lit(0)), keys, order, False)
 
