@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidewatch.catalog import collectors, delivery, identity, rules, scalars, shaping
+from tidewatch.catalog import collectors, delivery, identity, rules, scalars, shaping, streams
 from tidewatch.catalog.base import Query
 
-MODULES = (scalars, rules, collectors, identity, shaping, delivery)
+MODULES = (scalars, rules, collectors, identity, shaping, delivery, streams)
 
 
 def entries() -> dict[str, Query]:
