@@ -37,9 +37,20 @@ def frame(spark: SparkSession, sf: str, text: str) -> DataFrame:
     return spark.sql(_NAME.sub(lambda m: f"parquet.`{sf}/{m.group(1)}.parquet`", text))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores when the files behind them are fewer than those.
+
+    The given tables are one file of one row group each, which is one task; a table of many files
+    is left as it is.
+    """
+    context = df.sparkSession.sparkContext
+    files = len(df.inputFiles())
+    return df.repartition(context.defaultParallelism) if files < context.defaultParallelism else df
+
+
 def over(text: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Query that applies an operator to one raw view."""
-    return lambda spark, sf: build(frame(spark, sf, text))
+    return lambda spark, sf: build(spread(frame(spark, sf, text)))
 
 
 def stamp(at: Column) -> Column:

@@ -14,6 +14,7 @@ from tidewatch.catalog.base import (
     duck,
     frame,
     over,
+    spread,
     sql_action,
     sql_number,
     sql_object,
@@ -387,8 +388,14 @@ def _groups(df: DataFrame) -> DataFrame:
         F.col("priority").alias("group"), F.when(F.col("status") == "F", "user").alias("last_group")))
 
 
+raw_frame = frame
+
+
 def all_frames(spark, sf) -> dict[str, DataFrame]:
     """Every collector over the given tables."""
+    def frame(spark, sf, text):
+        return spread(raw_frame(spark, sf, text))
+
     money = frame(spark, sf, MONEY)
     orders = frame(spark, sf, ORDERS)
     return {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.catalog.base import EVENTS, Query, duck, frame, sql_stamp, stamp
+from tidewatch.catalog.base import EVENTS, Query, duck, frame, spread, sql_stamp, stamp
 from tidewatch.functions.text import lua_number
 from tidewatch.operators import shaping
 from tidewatch.operators.canonical import canonical_project
@@ -82,7 +82,7 @@ def fold(spark, sf, gap=GAP, hold=HOLD, hot_rows=shaping.HOT_ROWS):
 
 def canonical_events(spark, sf):
     """Canonical events of the given events table, with the user as the acting player."""
-    raw = frame(spark, sf, RECORDS)
+    raw = spread(frame(spark, sf, RECORDS))
     drafts = log_to_events(raw)
     return canonical_project(drafts.withColumn("actor", party(source=F.col("actor_ref"))), deep=False)
 

@@ -54,15 +54,18 @@ def json_map(text: Column) -> Column:
 
 def json_object(**members: Column) -> Column:
     """Map of the members that are not NULL; the values are JSON text."""
-    entries = F.array(*[
-        F.struct(F.lit(name).alias("key"), value.cast("string").alias("value"))
-        for name, value in members.items()
-    ])
-    return F.map_from_entries(F.filter(entries, lambda entry: entry["value"].isNotNull()))
+    pairs = [part for name, value in members.items() for part in (F.lit(name), value.cast("string"))]
+    return F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+
+
+def object_text(**members: Column) -> Column:
+    """JSON text of an object whose keys are known: sorted here, so no map is built per row."""
+    parts = [F.concat(F.lit(f'"{name}":'), members[name].cast("string")) for name in sorted(members)]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 def sorted_entries(values: Column) -> Column:
-    return F.array_sort(F.map_entries(values))
+    return F.sort_array(F.map_entries(values))
 
 
 def canonical_json(values: Column) -> Column:

@@ -62,7 +62,8 @@ def lua_number(text: Column) -> Column:
     digits = F.regexp_replace(bare, "^[+-]?0[xX]", "")
     sign = F.when(bare.startswith("-"), -1).otherwise(1)
     return (
-        F.when(text.rlike(DECIMAL_TEXT), bare.try_cast(NUMBER))
+        F.when(text.rlike("^-?[0-9]{1,18}$"), text.cast("bigint").cast(NUMBER))
+        .when(text.rlike(DECIMAL_TEXT), bare.try_cast(NUMBER))
         .when(text.rlike(HEX_TEXT), (F.conv(digits, 16, 10).try_cast("bigint") * sign).cast(NUMBER))
     )
 

@@ -11,6 +11,7 @@ from tidewatch.functions.records import (
     event_id,
     fields_to_data,
     json_object,
+    object_text,
 )
 from tidewatch.functions.text import normalise_action, normalise_severity, short_text, text_json, utc_text
 from tidewatch.operators.identity import PARTY, PARTY_TEXT, resolve_party
@@ -72,13 +73,13 @@ def party_json(value: Column) -> Column:
     names = {"character_id": "characterId"}
     members = {"source": value["source"].cast("string")}
     members.update({names.get(n, n): text_json(value[n]) for n in PARTY_TEXT})
-    return F.when(value.isNotNull(), canonical_json(json_object(**members)))
+    return F.when(value.isNotNull(), object_text(**members))
 
 
 def event_json(**columns: Column) -> Column:
     """The event as it would be sent: one JSON object, absent members left out."""
     at = {name: columns.get(name, F.col(name)) for name in CANONICAL}
-    return canonical_json(json_object(
+    return object_text(
         eventId=text_json(at["event_id"]), occurredAt=text_json(utc_text(at["occurred_at"])),
         channel=text_json(at["channel"]), category=text_json(at["category"]),
         action=text_json(at["action"]), severity=text_json(at["severity"]),
@@ -87,4 +88,4 @@ def event_json(**columns: Column) -> Column:
         data=canonical_json(at["data"]),
         correlationId=text_json(at["correlation_id"]), transactionId=text_json(at["transaction_id"]),
         sessionId=text_json(at["session_id"]), entityId=text_json(at["entity_id"]),
-    ))
+    )

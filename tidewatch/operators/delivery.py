@@ -92,22 +92,22 @@ def backlog_dropped(df: DataFrame, kept: DataFrame) -> DataFrame:
     )
 
 
-def receipt_valid(accepted: Column, duplicates: Column, rejected: Column, count: Column) -> Column:
-    """Three whole numbers from 0 to 2^53-1 that account for the entire batch."""
-    parts = [lua_number(part) for part in (accepted, duplicates, rejected)]
-    whole = F.lit(True)
-    for part in parts:
-        whole = whole & (part >= 0) & (part <= fixed.MAX_EXACT_INTEGER) & (part == F.floor(part))
-    return F.coalesce(whole & (parts[0] + parts[1] + parts[2] == count), F.lit(False))
+RECEIPT = ("accepted", "duplicates", "rejected")
 
 
 def validate_receipts(df: DataFrame) -> DataFrame:
-    return df.withColumn("receipt_valid", receipt_valid(
-        F.col("accepted"), F.col("duplicates"), F.col("rejected"), F.col("event_count")))
+    """Add `receipt_valid`: three whole numbers from 0 to 2^53-1 that account for the batch."""
+    numbered = df.withColumns({f"_{name}": lua_number(F.col(name)) for name in RECEIPT})
+    parts = [F.col(f"_{name}") for name in RECEIPT]
+    whole = parts[0] + parts[1] + parts[2] == F.col("event_count")
+    for part in parts:
+        whole = whole & (part >= 0) & (part <= fixed.MAX_EXACT_INTEGER) & (part == F.floor(part))
+    return numbered.withColumn("receipt_valid", F.coalesce(whole, F.lit(False))).drop(
+        *[f"_{name}" for name in RECEIPT])
 
 
 def classify_attempts(df: DataFrame, timeout: float = fixed.TIMEOUT_SECONDS) -> DataFrame:
-    """Add `outcome` (ack, retry or discard) and `error` of each delivery attempt.
+    """Add `receipt_valid`, `outcome` (ack, retry or discard) and `error` of each attempt.
 
     An answer at or after the timeout never counts, not even a good one.
     """
@@ -115,18 +115,16 @@ def classify_attempts(df: DataFrame, timeout: float = fixed.TIMEOUT_SECONDS) ->
         F.unix_micros("response_at") - F.unix_micros("sent_at") >= round(timeout * 1_000_000)
     )
     status = F.coalesce(F.col("status").cast("int"), F.lit(0))
-    valid = receipt_valid(F.col("accepted"), F.col("duplicates"), F.col("rejected"), F.col("event_count"))
     good = status.isin(*fixed.ACCEPT_STATUSES)
     final = status.isin(*fixed.DISCARD_STATUSES)
-    outcome = (
-        F.when(late, "retry").when(good & valid, "ack").when(final, "discard").otherwise("retry")
-    )
+    acked = good & F.col("receipt_valid")
+    outcome = F.when(late, "retry").when(acked, "ack").when(final, "discard").otherwise("retry")
     error = (
-        F.when(late, "HTTP timeout").when(good & valid, F.lit(None)).when(good, "HTTP invalid_receipt")
+        F.when(late, "HTTP timeout").when(acked, F.lit(None)).when(good, "HTTP invalid_receipt")
         .when(final, F.format_string("HTTP %d rejected the batch", status))
         .otherwise(F.format_string("HTTP %d", status))
     )
-    return df.withColumns({"outcome": outcome, "error": error})
+    return validate_receipts(df).withColumns({"outcome": outcome, "error": error})
 
 
 def failure_streaks(attempts: DataFrame, keys: Sequence[str] = ("server_id",),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
-from tidewatch.functions.records import canonical_json, json_object, metadata_json, read_slot
+from tidewatch.functions.records import json_object, metadata_json, object_text, read_slot
 from tidewatch.functions.text import (
     json_scalar_text,
     lua_number,
@@ -63,7 +63,7 @@ def inventory_json(inventory: Column, kind: Column | None = None) -> Column:
     members = {"id": text_json(short_text(inventory, 64))}
     if kind is not None:
         members["type"] = text_json(kind)
-    return canonical_json(json_object(**members))
+    return object_text(**members)
 
 
 def coords_json(df: DataFrame, enabled: bool) -> Column:
@@ -114,7 +114,7 @@ def moves_to_events(df: DataFrame, log_shuffles: bool = False, coords: bool = Fa
             coords=coords_json(df, coords),
             fromInventory=inventory_json(given, F.col("from_type")),
             toInventory=inventory_json(F.coalesce(received, F.col("drop_id")), F.col("to_type")),
-            vehicle=F.when(plate.isNotNull(), canonical_json(json_object(plate=text_json(plate)))),
+            vehicle=F.when(plate.isNotNull(), object_text(plate=text_json(plate))),
         ),
         data=json_object(
             item=text_json(F.col("_item.name")),

@@ -33,3 +33,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="tidewatch-checkpoints-")
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()
+
+
+def build(name: str, master: str | None = None, partitions: int | None = None) -> SparkSession:
+    """A session with the options that can only be set at its start.
+
+    Plans here are built from many small expressions; recording the Python line of each one costs
+    more than the rest of building them.
+    """
+    builder = SparkSession.builder.appName(name).config(
+        "spark.python.sql.dataFrameDebugging.enabled", "false"
+    )
+    if master:
+        builder = builder.master(master).config("spark.driver.memory", "12g")
+        builder = builder.config("spark.ui.enabled", "false")
+        builder = builder.config("spark.ui.showConsoleProgress", "false")
+    if partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    return configure(builder.getOrCreate())
