@@ -43,9 +43,11 @@ def spread(df: DataFrame) -> DataFrame:
     The given tables are one file of one row group each, which is one task; a table of many files
     is left as it is.
     """
-    context = df.sparkSession.sparkContext
-    files = len(df.inputFiles())
-    return df.repartition(context.defaultParallelism) if files < context.defaultParallelism else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    # By a row's number: hashing needs no sort, which round-robin does to be repeatable.
+    return df.repartition(cores, next((c for c in ("arrival_seq", "id") if c in df.columns), df.columns[0]))
 
 
 def over(text: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

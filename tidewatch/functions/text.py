@@ -52,7 +52,8 @@ def cut_bytes(text: Column, limit: int) -> Column:
 
 def short_text(text: Column, limit: int = fixed.MAX_TEXT_BYTES) -> Column:
     """Text cut to `limit` bytes; empty becomes NULL. Numbers are taken as their text."""
-    return F.nullif(cut_bytes(text.cast("string"), limit), F.lit(""))
+    text = text.cast("string")
+    return F.when(text != "", cut_bytes(text, limit))
 
 
 def lua_number(text: Column) -> Column:
@@ -131,9 +132,10 @@ def command_text(command: Column, arguments: Column) -> Column:
 
 
 def json_scalar_text(value: Column) -> Column:
-    """Plain text of a JSON number or string; NULL for JSON null."""
-    return F.get_json_object(F.concat(F.lit('{"v":'), value, F.lit("}")), "$.v")
-
-
-def json_is_text(value: Column) -> Column:
-    return value.startswith('"')
+    """Plain text of a JSON number, string or object; NULL for JSON null."""
+    escaped = F.get_json_object(F.concat(F.lit('{"v":'), value, F.lit("}")), "$.v")
+    inner = F.substring(value, F.lit(2), F.length(value) - 2)
+    return (
+        F.when(value.startswith('"'), F.when(value.contains("\\"), escaped).otherwise(inner))
+        .when(value != "null", value)
+    )

@@ -85,10 +85,12 @@ def moves_to_events(df: DataFrame, log_shuffles: bool = False, coords: bool = Fa
         "_to": read_slot(F.col("to_slot"), max_keys=metadata_keys),
         "_action": classify_move(F.col("action"), F.col("from_type"), F.col("to_type"),
                                  F.col("from_inventory"), F.col("to_inventory")),
+        "_given": json_scalar_text(F.col("from_inventory")),
+        "_received": json_scalar_text(F.col("to_inventory")),
     })
     item = F.when(F.col("_from.name").isNotNull(), F.col("_from")).otherwise(F.col("_to"))
     rows = rows.withColumn("_item", item)
-    given, received = json_scalar_text(F.col("from_inventory")), json_scalar_text(F.col("to_inventory"))
+    given, received = F.col("_given"), F.col("_received")
     vehicle = ("trunk", "glovebox")
     plate = plate_of(
         F.when(F.col("to_type").isin(*vehicle), F.coalesce(received, F.lit("")))
