@@ -113,7 +113,7 @@ def test_flooding_player_is_capped_and_reported_once(spark):
 
 
 def test_group_limit_is_cut_before_the_shuffle(spark):
-    df = spark.range(10).selectExpr("'s' server_id", "1 source", "id arrival_seq", "timestamp_seconds(id) received_at")
+    df = spark.range(5000).selectExpr("'s' server_id", "1 source", "id arrival_seq", "timestamp_seconds(id) received_at")
     plan = shaping.rate_limit(df, source="source")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
