@@ -19,7 +19,7 @@ from tidewatch.catalog.collectors import (
 )
 from tidewatch.functions import json_map
 from tidewatch.operators import exports, validate
-from tidewatch.sources import raw
+from tidewatch.sources import raw, snapshots
 from tidewatch.sources.schemas import CORRUPT
 
 RECORDS = """
@@ -52,6 +52,32 @@ FROM ({EVENTS}) AS raw
 OVERSIZE = "SELECT CAST(doc_id % 4 AS STRING) AS server_id, doc_id AS arrival_seq, text AS encoded FROM $documents"
 
 
+# One spool per order: whole ones of two flights and a queued event, and eight ways of being broken.
+SPOOLS = """
+SELECT o_orderkey AS id, CASE o_orderkey % 9
+  WHEN 0 THEN '{"v":1,"queued":[{"payload":{"id":' || CAST(o_custkey AS STRING) || '},"bytes":20}],"flight":{"body":"{\\\\"events\\\\":[{\\\\"id\\\\":1},{\\\\"id\\\\":2}]}","count":2},"dropped":3}'
+  WHEN 1 THEN '{"v":1,"queued":[{"payload":{"id":' || CAST(o_custkey AS STRING) || '},"bytes":20}]}'
+  WHEN 2 THEN '{"v":1,"queued":[{"payload":{},"bytes":"bad"}]}' WHEN 3 THEN '{"v":1,"queued":[],"dropped":-1}'
+  WHEN 4 THEN '{"v":2,"queued":[]}' WHEN 5 THEN '{"v":1,"queued":7}' WHEN 6 THEN 'not json'
+  WHEN 7 THEN '{"v":1,"queued":[],"flight":{"body":"{}","count":1}}' ELSE '{"v":1,"queued":[]}' END AS data,
+  o_orderkey % 9 = 8 AS tampered, o_custkey
+FROM $orders
+"""
+SPOOL_REASONS = {2: "item", 3: "dropped", 4: "version", 5: "queue", 6: "not_json", 7: "flight", 8: "checksum"}
+
+
+def _spools(df):
+    digest = F.sha2(F.when(F.col("tampered"), F.concat(F.col("data"), F.lit(" "))).otherwise(F.col("data")), 256)
+    files = df.select("id", F.to_json(F.struct("data", digest.alias("sha256"))).alias("value"))
+    parsed = snapshots.parse_snapshots(files)
+    bad = parsed.filter(F.col("reason").isNotNull()).select(
+        "id", "reason", F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("part"),
+        F.lit(None).cast("string").alias("payload"))
+    good = snapshots.recovered_events(parsed, "id").select(
+        "id", F.lit(None).cast("string").alias("reason"), "position", "part", "payload")
+    return good.unionByName(bad)
+
+
 def _parsed(df):
     rows = raw.parse_raw(df, "account_money")
     return rows.select(
@@ -82,6 +108,16 @@ def entries() -> dict[str, Query]:
             duck("SELECT server_id, arrival_seq, 'add' AS event, source AS player_id, 'bank' AS account, amount, "
                  f"action AS reason FROM ({LINES}) AS raw WHERE spoilt <> 0"),
         ),
+        "src_snapshot_recovery": Query(
+            over(SPOOLS, _spools),
+            duck("SELECT id, CAST(NULL AS VARCHAR) AS reason, position, part, payload FROM ("
+                 "SELECT id, 0 AS position, 'flight' AS part, '{\"id\":1}' AS payload, o_custkey FROM (" + SPOOLS + ") AS a WHERE id % 9 = 0 "
+                 "UNION ALL SELECT id, 1, 'flight', '{\"id\":2}', o_custkey FROM (" + SPOOLS + ") AS b WHERE id % 9 = 0 "
+                 "UNION ALL SELECT id, CASE WHEN id % 9 = 0 THEN 2 ELSE 0 END, 'queued', '{\"id\":' || o_custkey || '}', o_custkey "
+                 "FROM (" + SPOOLS + ") AS c WHERE id % 9 IN (0, 1)) AS good "
+                 "UNION ALL SELECT id, CASE id % 9 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in SPOOL_REASONS.items())
+                 + " END, NULL, NULL, NULL FROM (" + SPOOLS + ") AS bad WHERE id % 9 > 1"),
+        ),
         "sink_quarantine": Query(
             quarantined,
             duck(f"SELECT coalesce({_REASON_SQL}, 'accepted') AS reason, count(*) AS records, "

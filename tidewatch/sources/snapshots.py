@@ -39,41 +39,47 @@ def parse_snapshots(files: DataFrame, content: str = "value") -> DataFrame:
 
     `files` has one row per file with its whole content.
     """
-    entry = F.from_json(F.col(content), FILE)
-    rows = files.withColumns({"_data": entry["data"], "_sum": entry["sha256"]})
-    rows = rows.withColumn("_top", json_map(F.col("_data")))
-    rows = rows.withColumns({
-        "_queued": _variants(F.element_at("_top", "queued")),
-        "_flight": json_map(F.element_at("_top", "flight")),
-        "_empty_queue": F.element_at("_top", "queued") == "{}",
-    })
-    rows = rows.withColumns({
-        "_items": F.transform("_queued", lambda item: json_map(item)),
-        "_body": json_map(json_scalar_text(F.element_at("_flight", "body"))),
-    })
-    rows = rows.withColumn("_flight_events", _variants(F.element_at("_body", "events")))
-
-    item_ok = F.forall("_items", lambda item: F.coalesce(
+    # Each part is bound once: as separate columns a filter on the reason would parse them anew.
+    parsed = let(F.from_json(F.col(content), FILE), lambda entry: let(
+        json_map(entry["data"]), lambda top: let(
+            json_map(F.element_at(top, "flight")), lambda flight: let(
+                F.transform(_variants(F.element_at(top, "queued")), lambda item: json_map(item)),
+                lambda items: let(
+                    _variants(F.element_at(let(
+                        F.element_at(flight, "body"), lambda body: json_map(json_scalar_text(body))
+                    ), "events")),
+                    lambda events: F.struct(
+                        _reason(entry, top, items, flight, events).alias("reason"),
+                        items.alias("items"), events.alias("flight_events"),
+                    ))))))
+    rows = files.withColumn("_snapshot", parsed)
+    return rows.select(
+        *files.columns, F.col("_snapshot.reason").alias("reason"),
+        F.col("_snapshot.items").alias("_items"), F.col("_snapshot.flight_events").alias("_flight_events"),
+    )
+
+
+def _reason(entry: Column, top: Column, items: Column, flight: Column, events: Column) -> Column:
+    """Why a snapshot may not be replayed; NULL when it may."""
+    item_ok = F.forall(items, lambda item: F.coalesce(
         F.element_at(item, "payload").rlike("^[{\\[]") & _whole(F.element_at(item, "bytes"), 1),
         F.lit(False)))
-    dropped = F.coalesce(F.element_at("_top", "dropped"), F.lit("0"))
-    flight_given = F.map_contains_key("_top", F.lit("flight"))
-    count = F.element_at("_flight", "count")
+    dropped = F.coalesce(F.element_at(top, "dropped"), F.lit("0"))
+    count = F.element_at(flight, "count")
     flight_ok = F.coalesce(
-        F.element_at("_flight", "body").startswith('"') & _whole(count, 1)
-        & (F.size("_flight_events") == lua_number(count)), F.lit(False))
-    queue_ok = F.coalesce(F.col("_empty_queue"), F.lit(False)) | F.col("_queued").isNotNull()
-    reason = (
-        F.when(F.col("_data").isNull() | F.col("_sum").isNull(), "unreadable")
-        .when(F.sha2(F.col("_data"), 256) != F.col("_sum"), "checksum")
-        .when(F.col("_top").isNull(), "not_json")
-        .when(~F.coalesce(F.element_at("_top", "v") == "1", F.lit(False)), "version")
-        .when(~queue_ok, "queue")
+        F.element_at(flight, "body").startswith('"') & _whole(count, 1)
+        & (F.size(events) == lua_number(count)), F.lit(False))
+    queue_ok = (F.element_at(top, "queued") == "{}") | items.isNotNull()
+    return (
+        F.when(entry["data"].isNull() | entry["sha256"].isNull(), "unreadable")
+        .when(F.sha2(entry["data"], 256) != entry["sha256"], "checksum")
+        .when(top.isNull(), "not_json")
+        .when(~F.coalesce(F.element_at(top, "v") == "1", F.lit(False)), "version")
+        .when(~F.coalesce(queue_ok, F.lit(False)), "queue")
         .when(~F.coalesce(item_ok, F.lit(True)), "item")
         .when(~_whole(dropped, 0), "dropped")
-        .when(F.coalesce(flight_given, F.lit(False)) & ~flight_ok, "flight")
+        .when(F.map_contains_key(top, F.lit("flight")) & ~flight_ok, "flight")
     )
-    return rows.withColumn("reason", reason)
 
 
 def recovered_events(parsed: DataFrame, name: str = "path") -> DataFrame:
