@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.frames import hashable, one_space, texts
+from tidewatch.llm.frames import one_space, pick, texts
 
 #: Copies of one row are dealt out in runs of so many, so that no array grows with the input.
 RUN = 1_000_000
@@ -54,19 +54,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that `exact_groups` keeps, with all their columns and their own white space.
 
-    Of repeated rows (same id, equal text) that differ in other columns, the one with the smallest
-    hash over its columns stays.
+    Of repeated rows (same id, equal text) that differ in other columns or in white space, the one
+    with the smallest hash over its columns stays.
     """
-    whole, named = f"{id_col}|row", [f"`{c}`" for c in docs.columns]
     body = one_space(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    key = F.coalesce(F.concat(F.lit("="), F.col(f"`{id_col}`").cast("string")), F.lit(""))
-    rows = docs.select(F.struct(*named).alias(whole), key.alias("key"), F.unhex(F.sha2(body, 256)).alias("sha"),
-                       F.xxhash64(*hashable(docs)).alias("rank"))
-    keepers = exact_groups(docs, id_col, text_col).where("kept").select(
-        F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias("key"),
-        F.unhex("text_sha256").alias("sha"))
-    kept = rows.join(keepers, ["key", "sha"]).groupBy("key", "sha").agg(F.min_by(f"`{whole}`", "rank").alias("kept"))
-    return kept.select(*[F.col("kept").getField(c).alias(c) for c in docs.columns])
+    keepers = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("id"), F.unhex("text_sha256").alias("mark"))
+    return pick(docs, keepers, id_col, F.unhex(F.sha2(body, 256)))
 
 
 ORACLE = """

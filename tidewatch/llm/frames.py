@@ -11,8 +11,6 @@ from tidewatch.session import ensure_checkpoint_dir
 
 #: The white space that separates words: space, and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]"
-#: A row without an id comes after all others.
-LAST = "id IS NULL"
 
 
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -42,3 +40,21 @@ def stored(df: DataFrame) -> DataFrame:
     folder = scratch(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def name_key(column: Column) -> Column:
+    """Text that is equal for equal ids and for null ids, which plain equality never is."""
+    return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
+
+
+def pick(docs: DataFrame, chosen: DataFrame, id_col: str, mark: Column) -> DataFrame:
+    """The rows of `docs` whose id and mark, a hash of the text, are in `chosen` (id, mark), one for each.
+
+    Of rows that share both, the one with the smallest hash over its columns stays.
+    """
+    rows = docs.select(
+        F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), name_key(F.col(f"`{id_col}`")).alias("key"),
+        mark.alias("mark"), F.xxhash64(*hashable(docs)).alias("rank"))
+    kept = rows.join(chosen.select(name_key(F.col("id")).alias("key"), "mark"), ["key", "mark"])
+    kept = kept.groupBy("key", "mark").agg(F.min_by("row", "rank").alias("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
