@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.catalog.base import Query
-from tidewatch.llm import exact_dedup, line_dedup, simhash
+from tidewatch.llm import exact_dedup, line_dedup, simhash, substring_dedup
 from tidewatch.session import configure
 
 
@@ -23,4 +23,5 @@ def entries() -> dict[str, Query]:
         "op4_simhash_near_dedup": over("documents", simhash.near_groups),
         "op5_line_dedup": Query(over("documents", line_dedup.line_digest).run, line_dedup.ORACLE),
         "op7_exact_dedup": Query(over("documents", exact_dedup.exact_groups).run, exact_dedup.ORACLE),
+        "op10_substring_dedup": Query(over("documents", substring_dedup.passage_digest).run, substring_dedup.ORACLE),
     }
