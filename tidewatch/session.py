@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -17,9 +19,27 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application, so that their Python finds it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    home = Path(__file__).resolve().parent
+    packed = Path(tempfile.mkdtemp(prefix="tidewatch-package-")) / "tidewatch.zip"
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sorted(home.rglob("*.py")):
+            archive.write(source, Path(home.name) / source.relative_to(home))
+    context.addPyFile(str(packed))
+    _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for reliable checkpoints: the cluster's own setting, or a fresh one in local mode."""
     context = spark.sparkContext
