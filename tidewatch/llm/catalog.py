@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.catalog.base import Query
-from tidewatch.llm import exact_dedup, line_dedup, simhash, substring_dedup
+from tidewatch.llm import exact_dedup, line_dedup, packing, records, simhash, substring_dedup
 from tidewatch.session import configure
 
 
@@ -22,6 +22,8 @@ def entries() -> dict[str, Query]:
     return {
         "op4_simhash_near_dedup": over("documents", simhash.near_groups),
         "op5_line_dedup": Query(over("documents", line_dedup.line_digest).run, line_dedup.ORACLE),
+        "op6_token_records": over("documents", records.record_digest),
         "op7_exact_dedup": Query(over("documents", exact_dedup.exact_groups).run, exact_dedup.ORACLE),
+        "op8_packing": over("documents", packing.pack),
         "op10_substring_dedup": Query(over("documents", substring_dedup.passage_digest).run, substring_dedup.ORACLE),
     }
