@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.catalog.base import Query
-from tidewatch.llm import exact_dedup, line_dedup, packing, records, simhash, substring_dedup
+from tidewatch.llm import exact_dedup, lexicon, line_dedup, packing, records, simhash, substring_dedup
 from tidewatch.session import configure
 
 
@@ -20,6 +20,7 @@ def over(name: str, operator) -> Query:
 
 def entries() -> dict[str, Query]:
     return {
+        "op2_bpe": over("documents", lexicon.round_trip),
         "op4_simhash_near_dedup": over("documents", simhash.near_groups),
         "op5_line_dedup": Query(over("documents", line_dedup.line_digest).run, line_dedup.ORACLE),
         "op6_token_records": over("documents", records.record_digest),
