@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.catalog.base import Query
-from tidewatch.llm import exact_dedup, lexicon, line_dedup, packing, quality, records, simhash, substring_dedup
+from tidewatch.llm import exact_dedup, language, lexicon, line_dedup, packing, quality, records, simhash, substring_dedup
 from tidewatch.session import configure
 
 
@@ -22,6 +22,7 @@ def entries() -> dict[str, Query]:
     return {
         "op1_quality_rules": over("documents", quality.judge),
         "op2_bpe": over("documents", lexicon.round_trip),
+        "op3_language_id": over("documents", language.identify),
         "op4_simhash_near_dedup": over("documents", simhash.near_groups),
         "op5_line_dedup": Query(over("documents", line_dedup.line_digest).run, line_dedup.ORACLE),
         "op6_token_records": over("documents", records.record_digest),
