@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.catalog.base import Query
-from tidewatch.llm import exact_dedup, language, lexicon, line_dedup, packing, quality, records, simhash, substring_dedup
+from tidewatch.llm import exact_dedup, html, language, lexicon, line_dedup, packing, quality, records, simhash, substring_dedup
 from tidewatch.session import configure
 
 
@@ -28,5 +28,6 @@ def entries() -> dict[str, Query]:
         "op6_token_records": over("documents", records.record_digest),
         "op7_exact_dedup": Query(over("documents", exact_dedup.exact_groups).run, exact_dedup.ORACLE),
         "op8_packing": over("documents", packing.pack),
+        "op9_html_extraction": over("pages", html.extract),
         "op10_substring_dedup": Query(over("documents", substring_dedup.passage_digest).run, substring_dedup.ORACLE),
     }
