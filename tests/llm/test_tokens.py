@@ -115,7 +115,7 @@ def test_pieces_cover_every_id(spark, rows, docs):
 @pytest.mark.parametrize("seed", range(6))
 def test_cutting_stock_is_near_the_bound(seed):
     rnd = random.Random(seed)
-    counts = {s: rnd.choice([1, 7, 300, 90_000]) for s in rnd.sample(range(1, 257), rnd.choice([1, 5, 60, 250]))}
+    counts = {s: rnd.choice([1, 7, 300, 90_000]) for s in rnd.sample(range(1, 257), [1, 5, 60, 120, 30, 2][seed])}
     plan = packing.cutting_stock(counts, 256)
     placed = {}
     for sizes, times in plan:

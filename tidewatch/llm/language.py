@@ -74,8 +74,10 @@ class Model:
                         size[len(rows)] = np.count_nonzero(held)
                         rows.append(at + k)
                     held[own] = False
+                if not rows:
+                    continue
                 outputs = (present[:len(rows)] @ self.weights) / np.sqrt(size[:len(rows), None])
-                shares = np.exp(CERTAINTY * (outputs - outputs.max(axis=1, keepdims=True))) if len(rows) else outputs
+                shares = np.exp(CERTAINTY * (outputs - outputs.max(axis=1, keepdims=True)))
                 shares /= shares.sum(axis=1, keepdims=True)
                 for row, best, share in zip(rows, shares.argmax(axis=1), shares.max(axis=1), strict=True):
                     found[row] = (self.languages[best], float(share))

@@ -12,6 +12,7 @@ import functools
 import hashlib
 import heapq
 import json
+import math
 import mmap
 import os
 import tempfile
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewatch.llm.frames import texts
+from tidewatch.llm.frames import stored, texts
 from tidewatch.llm.wordbpe import PARTS, VISIBLE, VOCABULARY, Recent, plain
 
 #: Word parts compiled into the automaton, and the longest of them; others are merged, with the same ids.
@@ -205,7 +206,11 @@ def codec(lexicon: str | None, vocabulary: str) -> Codec:
 
 
 def frequent(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None, most: int = FREQUENT) -> list[str]:
-    """The most frequent word parts over all whole texts; equal counts in the order of the parts."""
+    """At most `most` word parts: all that are at least as frequent, over all whole texts, as a border.
+
+    The border is found from how many parts have counts between powers of 1.1, a few hundred numbers;
+    so no more than `most` parts reach the driver.
+    """
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,9 +225,15 @@ def frequent(docs: DataFrame, text_col: str = "text", vocabulary: str | None = N
                         counts.clear()
         yield out()
 
-    words = docs.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(counted, "part string, n long")
-    top = words.groupBy("part").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "part").limit(most)
-    return [r["part"] for r in top.collect()]
+    found = docs.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(counted, "part string, n long")
+    words = stored(found.groupBy("part").agg(F.sum("n").alias("n")).withColumn("level", F.floor(F.log("n") / math.log(1.1)).cast("int")))
+    border, total = None, 0
+    for row in sorted(words.groupBy("level").count().collect(), reverse=True):
+        total += row["count"]
+        if total > most:
+            break
+        border = row["level"]
+    return [] if border is None else [r["part"] for r in words.where(F.col("level") >= border).select("part").collect()]
 
 
 def publish(spark: SparkSession, words: list[str], vocabulary: str | None = None) -> str:

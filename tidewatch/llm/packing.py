@@ -18,8 +18,8 @@ from tidewatch.llm.wordbpe import END, encoder
 ROOM, UNIT = 4096, 16
 #: Pieces of one class that are ranked in one task.
 RANKED = 100_000
-#: Fixed: tolerance of the program's prices; steps between fresh inverses.
-CLOSE, FRESH = 1e-9, 64
+#: Tolerance of numbers; how far from the fewest sequences the relaxed program may stop; steps between fresh inverses.
+CLOSE, GAP, FRESH = 1e-9, 5e-4, 64
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -72,7 +72,8 @@ def relaxed(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.ndarra
     """Patterns (columns) and how often each is used, in fractions, so that the fewest sequences meet the demand.
 
     Revised simplex: a basis of as many patterns as there are sizes, prices from its inverse, and the
-    dearest pattern at these prices enters until none is worth more than a sequence.
+    dearest pattern at these prices enters until none is worth more than 1 + GAP sequences: then no
+    set of patterns needs less than 1 / (1 + GAP) of the sequences.
     """
     basis = np.diag((room // sizes).astype(float))
     goal = demand * (1 + 1e-7 * np.arange(1, len(sizes) + 1) / len(sizes))  # keeps steps from being empty
@@ -81,7 +82,7 @@ def relaxed(sizes: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.ndarra
         if step % FRESH == 0:
             inverse = np.linalg.inv(basis)
         pattern = dearest(inverse.sum(axis=0), sizes, room)
-        if pattern @ inverse.sum(axis=0) <= 1 + 1e-7:
+        if pattern @ inverse.sum(axis=0) <= 1 + GAP:
             break
         used, change = inverse @ goal, inverse @ pattern
         with np.errstate(divide="ignore", invalid="ignore"):
