@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tidewatch import catalog
 from tidewatch.catalog.base import TABLES
 
 SMALL = "/root/testdata/sf0.001"
@@ -27,12 +28,11 @@ def plain(value):
     return value
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SMALL)
     columns = sorted(df.columns)
     got = sorted((tuple(plain(row[c]) for c in columns) for row in df.collect()), key=repr)
-    assert name in SQL
     cursor = duck.execute(SQL[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
@@ -40,5 +40,9 @@ def test_query_equals_sql(spark, duck, name):
     assert got == want
 
 
+def test_every_query_of_the_catalogue_has_sql():
+    assert set(catalog.entries()) <= set(SQL) <= set(QUERIES)
+
+
 def test_entry(spark):
     assert contract.entry(spark).columns

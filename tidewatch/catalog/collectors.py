@@ -230,7 +230,7 @@ JOBS_SQL = expected(
         previous="CASE WHEN arrival_seq % 3 = 0 THEN '\"unemployed - Jobless\"' END"),
 )
 
-DOORS = "SELECT CAST(p_partkey % 3 AS STRING) AS server_id, CAST(p_partkey AS STRING) AS door_id, p_name AS name FROM $part WHERE p_partkey < 60"
+DOORS = "SELECT CAST(p_partkey % 3 AS STRING) AS server_id, CAST(p_partkey AS STRING) AS door_id, p_name AS name FROM $part"
 DOOR_STATES = f"""
 SELECT server_id, arrival_seq, received_at, CASE WHEN arrival_seq % 6 <> 0 THEN source END AS player_id,
        CAST(arrival_seq % 90 AS STRING) AS door_id, action = 'click' AS locked,

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tidewatch import fixed
 
 NUMBER = "decimal(28,6)"
-DECIMAL_TEXT = r"^[ \t-\r]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t-\r]*$"
-HEX_TEXT = r"^[ \t-\r]*[+-]?0[xX][0-9a-fA-F]{1,15}[ \t-\r]*$"
-MONEY_TEXT = r"^\$?[0-9,]+\.?[0-9]*$"
+DECIMAL_TEXT = r"^[ \t-\r]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t-\r]*\z"
+HEX_TEXT = r"^[ \t-\r]*[+-]?0[xX][0-9a-fA-F]{1,15}[ \t-\r]*\z"
+MONEY_TEXT = r"^\$?[0-9,]+\.?[0-9]*\z"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -26,6 +26,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def ascii_lower_name(name: str) -> str:
+    """The same for a name of a list that such text is compared with."""
+    return name.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))
+
+
 def normalise_action(title: Column) -> Column:
     """Snake-case action of a display title, or NULL when nothing usable is left."""
     joined = F.regexp_replace(ascii_lower(title), "[^a-z0-9]+", "_")
@@ -63,7 +68,7 @@ def lua_number(text: Column) -> Column:
     digits = F.regexp_replace(bare, "^[+-]?0[xX]", "")
     sign = F.when(bare.startswith("-"), -1).otherwise(1)
     return (
-        F.when(text.rlike("^-?[0-9]{1,18}$"), text.cast("bigint").cast(NUMBER))
+        F.when(text.rlike(r"^-?[0-9]{1,18}\z"), text.cast("bigint").cast(NUMBER))
         .when(text.rlike(DECIMAL_TEXT), bare.try_cast(NUMBER))
         .when(text.rlike(HEX_TEXT), (F.conv(digits, 16, 10).try_cast("bigint") * sign).cast(NUMBER))
     )
@@ -105,7 +110,7 @@ def weapon_flag(item: Column) -> Column:
 def plate_of(inventory_id: Column) -> Column:
     """Plate inside a trunk or glovebox inventory id."""
     return F.nullif(
-        F.regexp_extract(inventory_id, "^[A-Za-z]+-?([A-Za-z0-9]+)$", 1), F.lit("")
+        F.regexp_extract(inventory_id, r"^[A-Za-z]+-?([A-Za-z0-9]+)\z", 1), F.lit("")
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch import fixed
 from tidewatch.functions.text import lua_number, utc_text
 from tidewatch.plans.chains import OPENS, START, mark_chain
+from tidewatch.plans.keys import join_on
 from tidewatch.plans.ordered import HOT_ROWS, SLICE, arrange
 
 
@@ -32,7 +33,7 @@ def pack_batches(df: DataFrame, keys: Sequence[str] = ("server_id", "boot_id"),
     """Greedy batches in arrival order: as many events as fit, at least one.
 
     A batch is bounded by construction (events and bytes), so only batches are ever collected into
-    one row. `dropped` counts losses before an event since the one before it.
+    one row. `dropped` counts losses before an event since the one before it. A NULL key is a key.
     """
     keys = list(keys)
     limit = min(max_events, fixed.MAX_BATCH_EVENTS)
@@ -40,6 +41,9 @@ def pack_batches(df: DataFrame, keys: Sequence[str] = ("server_id", "boot_id"),
     lost = F.col(dropped) if dropped else F.lit(0)
     columns = df.select(*keys, *order, F.col(size).cast("bigint").alias("_size"),
                         F.col(payload).alias("_payload"), lost.cast("bigint").alias("_lost"))
+    # Rows equal in `order` are numbered alike however often this is computed.
+    columns = columns.withColumn("_tie", F.xxhash64("_payload", "_size", "_lost"))
+    order = [*order, "_tie"]
     rows = arrange(columns, keys, order, hot_rows)
     rows = rows.running_sum(F.lit(1).cast("bigint"), "_at").running_sum(F.col("_size"), "_filled")
     # The chain reads three numbers per row; payloads stay in the JVM.
@@ -48,11 +52,13 @@ def pack_batches(df: DataFrame, keys: Sequence[str] = ("server_id", "boot_id"),
                          size="_size", room=room, sliced=rows.sliced)
     starts = chained.filter(OPENS).select(*keys, F.col("_at").alias("_first"))
     numbered = arrange(starts, keys, ["_first"], hot_rows).running_sum(F.lit(1).cast("bigint"), "seq")
-    placed = chained.select(*keys, "_at", F.col(START).alias("_first")).join(
-        numbered.df.select(*keys, "_first", "seq"), [*keys, "_first"]
+    placed = join_on(
+        chained.select(*keys, "_at", F.col(START).alias("_first")),
+        numbered.df.select(*keys, "_first", "seq"), [*keys, "_first"],
     )
-    members = rows.df.select(*keys, "_at", "_size", "_payload", "_lost").join(
-        placed.select(*keys, "_at", "seq"), [*keys, "_at"]
+    members = join_on(
+        rows.df.select(*keys, "_at", "_size", "_payload", "_lost"),
+        placed.select(*keys, "_at", "seq"), [*keys, "_at"],
     )
     return members.groupBy(*keys, "seq").agg(
         F.count(F.lit(1)).alias("event_count"),

@@ -12,6 +12,7 @@ from tidewatch import fixed
 from tidewatch.functions.records import SUMMED, fold_key, json_object
 from tidewatch.functions.text import lua_number, number_json, text_json, utc_text
 from tidewatch.plans.chains import OPENS, START, mark_chain
+from tidewatch.plans.keys import join_on
 from tidewatch.plans.ordered import HOT_ROWS, arrange
 
 MICROS = 1_000_000
@@ -29,6 +30,7 @@ def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_
     first. The total carries the first row's columns with `sums` added up over the repeats alone,
     a new event id and no transaction id. New columns: `repeats`, `repeated_until`, `is_rollup`
     and `admit_at`, the moment the row reaches whatever is next. Rows are read in (at, seq) order.
+    NULL keys fold like others. A row without an arrival time passes as it is, with no `admit_at`.
     """
     columns = df.columns
     if gap <= 0:
@@ -40,6 +42,8 @@ def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_
 
     gap_us, hold_us = round(gap * MICROS), round(max_hold * MICROS)
     timed = df.withColumn("_t", F.unix_micros(F.col(at)))
+    timeless = timed.filter(F.col("_t").isNull()).select(*columns)
+    timed = timed.filter(F.col("_t").isNotNull())
     rows = arrange(timed, keys, ["_t", seq], hot_rows).previous(F.col("_t"), "_before")
     fresh = F.col("_before").isNull() | (F.col("_t") - F.col("_before") >= gap_us)
     rows = rows.last_known(F.when(fresh, F.col("_t")), "_island")
@@ -97,7 +101,14 @@ def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_
         F.timestamp_micros(closes).alias("admit_at"),
     )
     rows_out = F.when(F.col("_repeats") > 0, F.array(first, rollup)).otherwise(F.array(first))
-    return runs.select(F.inline(rows_out))
+    folded_rows = runs.select(F.inline(rows_out))
+    kinds = {field.name: field.dataType for field in folded_rows.schema.fields}
+    passed = {
+        "repeats": F.lit(None), "repeated_until": F.lit(None), "is_rollup": F.lit(False), "admit_at": F.lit(None),
+    }
+    return folded_rows.unionByName(timeless.select(
+        *[passed.get(name, F.col(name)).cast(kind).alias(name) for name, kind in kinds.items()]
+    ))
 
 
 def _ceiling(df: DataFrame, limit: int, window: float, origin: float, source: str,
@@ -163,7 +174,7 @@ def rate_limit_report(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
         .select("server_id", "source", "bucket", "actor")
     )
     dropped = F.col("offered") - limit
-    return over.join(first_dropped, ["server_id", "source", "bucket"]).select(
+    return join_on(over, first_dropped, ["server_id", "source", "bucket"]).select(
         "server_id", "source",
         F.timestamp_micros(F.col("bucket") * width + start).alias("window_start"),
         F.lit("security").alias("category"),
@@ -187,6 +198,8 @@ def top_volume(df: DataFrame, k: int = 15, since: str | None = None, until: str
     """The busiest event types among admitted rows, with their rate per minute."""
     if since is not None:
         df = df.filter(F.col(at) >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        df = df.filter(F.col(at) <= F.lit(until).cast("timestamp"))
     label = volume_label(F.col("channel"), F.col("category"), F.col("action"))
     first = F.lit(since).cast("timestamp") if since else F.min("_from")
     last = F.lit(until).cast("timestamp") if until else F.max("_to")
@@ -228,7 +241,7 @@ def conservation_check(before: DataFrame, after: DataFrame, keys: Sequence[str],
         Column.__or__,
         [~F.col(f"{name}_before").eqNullSafe(F.col(f"{name}_after")) for name in ("events", *sums)],
     )
-    return offered.join(kept, list(keys), "full").filter(changed)
+    return join_on(offered, kept, list(keys), "full").filter(changed)
 
 
 def with_fold_columns(events: DataFrame) -> DataFrame:
@@ -252,7 +265,7 @@ def fold_events(events: DataFrame, gap: float = fixed.GAP_SECONDS,
         with_fold_columns(events), ["server_id", "fold_key"], gap, max_hold, flush_at=flush_at,
         hot_rows=hot_rows,
     )
-    template = F.map_filter(F.col("data"), lambda key, _: ~key.isin(*SUMMED))
+    template = F.map_filter(F.col("data"), lambda key, _: ~key.isin(*SUMMED, "repeats", "repeatedUntil"))
     totals = {name: F.when(F.col(name).isNotNull(), number_json(F.col(name))) for name in SUMMED}
     rolled = F.map_concat(
         F.coalesce(template, F.create_map().cast("map<string,string>")),

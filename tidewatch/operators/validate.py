@@ -11,6 +11,7 @@ from tidewatch import fixed
 from tidewatch.functions.records import json_map
 from tidewatch.functions.text import (
     ascii_lower,
+    ascii_lower_name,
     json_scalar_text,
     let,
     lua_number,
@@ -72,7 +73,7 @@ def drop_slot_shuffles(df: DataFrame, log_shuffles: bool = False) -> DataFrame:
 
 def drop_ignored_creators(df: DataFrame, ignored: Iterable[str] = ()) -> DataFrame:
     """Drop creations by the listed scripts, but never weapons."""
-    names = sorted({name.lower() for name in ignored})
+    names = sorted({ascii_lower_name(name) for name in ignored})
     if not names:
         return df
     listed = F.coalesce(ascii_lower(F.col("resource")).isin(*names), F.lit(False))
@@ -94,7 +95,7 @@ def use_watchlist(df: DataFrame, all_uses: bool = False,
     """Item uses worth logging: all, or those on the list; an empty list means none."""
     if all_uses:
         return df
-    names = [name.lower() for name in watchlist]
+    names = [ascii_lower_name(name) for name in watchlist]
     return df.filter(F.col("item_name").isin(*names)) if names else df.filter(F.lit(False))
 
 

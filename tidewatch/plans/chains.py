@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.plans.keys import join_on
 from tidewatch.plans.ordered import SLICE
 
 START = "_start"
@@ -153,4 +154,4 @@ def mark_chain(df: DataFrame, group: Sequence[str], order: Sequence[str], meter:
         df.groupBy(*group, SLICE).applyInArrow(summarise, summary_schema)
         .groupBy(*group).applyInArrow(thread, entry_schema)
     )
-    return df.join(entries, [*group, SLICE]).groupBy(*group, SLICE).applyInArrow(enter, out_schema)
+    return join_on(df, entries, [*group, SLICE]).groupBy(*group, SLICE).applyInArrow(enter, out_schema)

@@ -16,16 +16,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidewatch.plans.keys import join_on
 from tidewatch.session import ensure_checkpoint_dir
 
 SLICE = "_slice"
 HOT_ROWS = 5_000_000
-# At most this many keys are treated as hot; any other key holds under 1/1000 of the rows.
-HOT_KEYS = 1_000
 # Input under this many bytes per hot row needs no count: all of it fits one task.
 SMALL_ROW_BYTES = 16
-# Slices of all hot keys together, which bounds the carried table that is broadcast.
-MAX_SLICES = 20_000
 
 
 @dataclass(frozen=True)
@@ -104,11 +101,12 @@ class Ordered:
         return self.replace(joined.withColumn(name, total).drop("_carried"))
 
     def _summary(self, value: Column) -> DataFrame:
-        """One row per hot key and slice: at most HOT_KEYS + MAX_SLICES rows."""
+        """One row per hot key and slice, a small part of the rows."""
         return self.df.filter(F.col(SLICE) > 0).groupBy(*self.keys, SLICE).agg(value)
 
     def _with_carried(self, local: DataFrame, carried: DataFrame) -> DataFrame:
-        return local.join(F.broadcast(carried.drop("v")), [*self.keys, SLICE], "left")
+        # No hint: Spark broadcasts it if it proves small, and splits a skewed join if not.
+        return join_on(local, carried.drop("v"), [*self.keys, SLICE], "left")
 
     def _patched_edge(self, name, local, edge, shift, descending) -> Ordered:
         across = Window.partitionBy(*self.keys).orderBy(SLICE)
@@ -134,45 +132,37 @@ def _surely_small(df: DataFrame, hot_rows: int) -> bool:
     return int(str(estimate)) < hot_rows * SMALL_ROW_BYTES
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list:
-    """Keys with more than `hot_rows` rows, the largest first, HOT_KEYS at most."""
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than `hot_rows` rows and how many: one row in `hot_rows` at most."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counted.filter(F.col("_rows") > hot_rows)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(HOT_KEYS)
-        .collect()
-    )
+    return counted.filter(F.col("_rows") > hot_rows)
 
 
 def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             hot_rows: int | None = HOT_ROWS, counted: DataFrame | None = None) -> Ordered:
-    """Prepare `df` for ordered scans by `keys`; keys and order columns must not be NULL.
+    """Prepare `df` for ordered scans by `keys`; order columns must not be NULL, keys may be.
 
     `hot_rows=None` promises that no key is hot and saves the count. `counted` is a frame that is
     cheaper than `df` and has nearly the same keys; a hot key it misses costs time, not rows.
     """
     keys, order = tuple(keys), tuple(order)
-    found = []
+    total = 0
     if hot_rows is not None and not _surely_small(df, hot_rows):
-        found = hot_keys(df if counted is None else counted, keys, hot_rows)
-    if not found:
+        ensure_checkpoint_dir(df.sparkSession)
+        found = hot_keys(df if counted is None else counted, keys, hot_rows).checkpoint()
+        total = found.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    if not total:
         return Ordered(df.withColumn(SLICE, F.lit(0)), keys, order, False)
 
-    spark = df.sparkSession
-    names = spark.createDataFrame(
-        [tuple(row[k] for k in keys) for row in found], df.select(*keys).schema
-    )
-    total = sum(row["_rows"] for row in found)
-    slices = max(2, min(MAX_SLICES, -(-2 * total // hot_rows)))
-    ensure_checkpoint_dir(spark)
+    names = found.select(*keys)
+    slices = max(2, -(-2 * total // hot_rows))
     # The slice is part of the data from here on: both passes over it must see the same borders,
     # also after an executor is lost, so the ranges are written to the shared folder once.
     hot = (
-        df.join(F.broadcast(names), list(keys), "left_semi")
+        join_on(df, names, keys, "left_semi")
         .repartitionByRange(slices, *keys, *order)
         .withColumn(SLICE, F.spark_partition_id() + 1)
         .checkpoint()
     )
-    cold = df.join(F.broadcast(names), list(keys), "left_anti").withColumn(SLICE, F.lit(0))
+    cold = join_on(df, names, keys, "left_anti").withColumn(SLICE, F.lit(0))
     return Ordered(reduce(DataFrame.unionByName, [cold, hot]), keys, order, True)

@@ -18,7 +18,7 @@ def configure(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(2**31 - 1))
     ship(spark)
     return spark
 

@@ -7,35 +7,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidewatch.operators.delivery import dedup_events
+from tidewatch.plans.keys import join_on
 
-PARTITIONS = ("category", "received_date")
+#: Parts of the table by a hash of the id: where an id is looked up, whenever it arrived.
+BUCKETS = 64
+PARTITIONS = ("id_bucket",)
 
 
-def _dated(events: DataFrame) -> DataFrame:
-    return events.withColumn("received_date", F.to_date("received_at"))
+def _bucketed(events: DataFrame) -> DataFrame:
+    bucket = F.pmod(F.xxhash64("server_id", "event_id"), F.lit(BUCKETS)).cast("int")
+    return events.withColumn("id_bucket", bucket)
 
 
-def write_canonical(events: DataFrame, path: str, mode: str = "append",
-                    days: list | None = None) -> None:
+def write_canonical(events: DataFrame, path: str, mode: str = "append") -> None:
     """Add events to the parquet table at `path`, once per (server_id, event_id).
 
-    Only the dates in the new rows are compared with what is stored: a replay carries the arrival
-    time of its record, so its earlier copy lies on the same date.
+    An id always falls into the same bucket, so a replay meets its earlier copy whenever either
+    arrived; the bucket is part of the join, which lets Spark read the touched buckets only, and of
+    those the ids alone. The batch is computed once. Within a bucket rows are written in order of
+    category and time, so filters on these skip row groups.
     """
-    fresh = dedup_events(_dated(events))
-    spark = events.sparkSession
+    keys = ["id_bucket", "server_id", "event_id"]
+    fresh = dedup_events(_bucketed(events))
     try:
-        stored = spark.read.parquet(path) if mode == "append" else None
+        stored = events.sparkSession.read.parquet(path) if mode == "append" else None
     except AnalysisException:
         stored = None
     if stored is not None:
-        # Dates are few (one per day of arrivals), and they prune the stored partitions.
-        dates = days if days is not None else [
-            row[0] for row in fresh.select("received_date").distinct().collect()
-        ]
-        known = stored.filter(F.col("received_date").isin(dates)).select("server_id", "event_id")
-        fresh = fresh.join(known, ["server_id", "event_id"], "left_anti")
-    fresh.write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+        fresh = join_on(fresh, stored.select(*keys), keys, "left_anti")
+    order = [c for c in ("category", "received_at") if c in fresh.columns]
+    fresh.sortWithinPartitions("id_bucket", *order).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 
 
 def stream_canonical(events: DataFrame, path: str, checkpoint: str, watermark: str = "1 minute"):
