@@ -230,6 +230,11 @@ JOBS_SQL = expected(
         previous="CASE WHEN arrival_seq % 3 = 0 THEN '\"unemployed - Jobless\"' END"),
 )
 
+CONNECTIONS = ORDERS.replace(
+    "'core' AS invoking_resource",
+    "'core' AS invoking_resource, CASE o_orderstatus WHEN 'F' THEN 'joining' "
+    "WHEN 'O' THEN 'dropped' ELSE 'other' END AS event, o_orderpriority AS reason")
+
 DOORS = "SELECT CAST(p_partkey % 3 AS STRING) AS server_id, CAST(p_partkey AS STRING) AS door_id, p_name AS name FROM $part"
 DOOR_STATES = f"""
 SELECT server_id, arrival_seq, received_at, CASE WHEN arrival_seq % 6 <> 0 THEN source END AS player_id,
@@ -413,6 +418,11 @@ def all_frames(spark, sf) -> dict[str, DataFrame]:
         "menu": staff.menu_to_events(frame(spark, sf, MENU)),
         "commands": staff.commands_to_events(frame(spark, sf, COMMANDS)),
         "lifecycle": exports.lifecycle_to_events(frame(spark, sf, LIFECYCLE)),
+        "jobs": _jobs(orders),
+        "connections": players.connections_to_events(frame(spark, sf, CONNECTIONS)),
+        "doors": players.doors_to_events(frame(spark, sf, DOOR_STATES), raw_frame(spark, sf, DOORS)),
+        "channels": exports.channels_to_events(frame(spark, sf, EXPORTS)),
+        "inventory_export": exports.inventory_export_to_events(frame(spark, sf, EXPORTS)),
     }
 
 
@@ -446,10 +456,25 @@ LIFECYCLE_SQL = expected(
                     frameworkAdapter=sql_text("framework_adapter")))
 
 
+CONNECTIONS_SQL = expected(
+    CONNECTIONS, "event <> 'other'", category="'player'", resource="'core'",
+    actor_ref="CAST(player_id AS VARCHAR)",
+    action="CASE event WHEN 'joining' THEN 'connect' ELSE 'disconnect' END",
+    data="CASE event WHEN 'dropped' THEN '{\"reason\":\"' || reason || '\"}' END")
+DOORS_SQL = expected(
+    f"SELECT s.*, d.name AS door_name FROM ({DOOR_STATES}) AS s LEFT JOIN ({DOORS}) AS d "
+    "ON s.server_id = d.server_id AND s.door_id = d.door_id",
+    "player_id IS NOT NULL", category="'property'", resource="'ox_doorlock'",
+    actor_ref="CAST(player_id AS VARCHAR)",
+    action="CASE WHEN locked THEN 'door_locked' ELSE 'door_unlocked' END",
+    data=sql_object(door=sql_text("door_name"), doorId="door_id", item=sql_text("used_item")))
+CHANNELS_SQL = expected(
+    EXPORTS, f"arrival_seq % 6 > 1 AND {_GOOD_ACTION} AND arrival_seq % 5 <> 1", **_EXPORT_COLUMNS)
+INVENTORY_EXPORT_SQL = expected(
+    EXPORTS, f"{_GOOD_ACTION} AND arrival_seq % 5 <> 1", category="'inventory'", **_EXPORT_COLUMNS)
+
+
 def entries() -> dict[str, Query]:
-    connections = ORDERS.replace("'core' AS invoking_resource",
-                                 "'core' AS invoking_resource, CASE o_orderstatus WHEN 'F' THEN 'joining' "
-                                 "WHEN 'O' THEN 'dropped' ELSE 'other' END AS event, o_orderpriority AS reason")
     return {
         "classify_move": Query(
             over(MOVES, lambda df: df.select("arrival_seq", inventory.classify_move(
@@ -473,40 +498,21 @@ def entries() -> dict[str, Query]:
             over(ORDERS, lambda df: shown(players.characters_to_events(
                 df.withColumn("is_new", F.col("status") == "F")))), CHARACTERS_SQL),
         "connections_to_events": Query(
-            over(connections, lambda df: shown(players.connections_to_events(df))),
-            expected(connections, "event <> 'other'", category="'player'", resource="'core'",
-                     actor_ref="CAST(player_id AS VARCHAR)",
-                     action="CASE event WHEN 'joining' THEN 'connect' ELSE 'disconnect' END",
-                     data="CASE event WHEN 'dropped' THEN '{\"reason\":\"' || reason || '\"}' END"),
-        ),
+            over(CONNECTIONS, lambda df: shown(players.connections_to_events(df))), CONNECTIONS_SQL),
         "doors_to_events": Query(
-            lambda spark, sf: shown(players.doors_to_events(frame(spark, sf, DOOR_STATES), frame(spark, sf, DOORS))),
-            expected(
-                f"SELECT s.*, d.name AS door_name FROM ({DOOR_STATES}) AS s LEFT JOIN ({DOORS}) AS d "
-                "ON s.server_id = d.server_id AND s.door_id = d.door_id",
-                "player_id IS NOT NULL", category="'property'", resource="'ox_doorlock'",
-                actor_ref="CAST(player_id AS VARCHAR)",
-                action="CASE WHEN locked THEN 'door_locked' ELSE 'door_unlocked' END",
-                data=sql_object(door=sql_text("door_name"), doorId="door_id", item=sql_text("used_item"))),
-        ),
+            lambda spark, sf: shown(players.doors_to_events(frame(spark, sf, DOOR_STATES), frame(spark, sf, DOORS))), DOORS_SQL),
         "staff_to_events": Query(over(TX, lambda df: shown(staff.staff_to_events(df))), STAFF_SQL),
         "menu_to_events": Query(over(MENU, lambda df: shown(staff.menu_to_events(df))), MENU_SQL),
         "commands_to_events": Query(over(COMMANDS, lambda df: shown(staff.commands_to_events(df))), COMMANDS_SQL),
-        "channels_to_events": Query(
-            over(EXPORTS, lambda df: shown(exports.channels_to_events(df))),
-            expected(EXPORTS, f"arrival_seq % 6 > 1 AND {_GOOD_ACTION} AND arrival_seq % 5 <> 1",
-                     **_EXPORT_COLUMNS),
-        ),
+        "channels_to_events": Query(over(EXPORTS, lambda df: shown(exports.channels_to_events(df))), CHANNELS_SQL),
         "inventory_export_to_events": Query(
-            over(EXPORTS, lambda df: shown(exports.inventory_export_to_events(df))),
-            expected(EXPORTS, f"{_GOOD_ACTION} AND arrival_seq % 5 <> 1", category="'inventory'",
-                     **_EXPORT_COLUMNS),
-        ),
+            over(EXPORTS, lambda df: shown(exports.inventory_export_to_events(df))), INVENTORY_EXPORT_SQL),
         "lifecycle_to_events": Query(
             over(LIFECYCLE, lambda df: shown(exports.lifecycle_to_events(df))), LIFECYCLE_SQL),
         "all_collectors": Query(_all, _kinds({
             "move": MOVES_SQL, "creation": CREATIONS_SQL, "purchase": PURCHASES_SQL, "craft": CRAFTS_SQL,
             "use": USES_SQL, "money": f"{MONEY_SQL} UNION ALL {BALANCES_SQL}", "group": GROUPS_SQL,
             "character": CHARACTERS_SQL, "staff": STAFF_SQL, "menu": MENU_SQL, "command": COMMANDS_SQL,
-            "lifecycle": LIFECYCLE_SQL})),
+            "lifecycle": LIFECYCLE_SQL, "job": JOBS_SQL, "connection": CONNECTIONS_SQL, "door": DOORS_SQL,
+            "channel": CHANNELS_SQL, "inventory": INVENTORY_EXPORT_SQL})),
     }

@@ -95,6 +95,13 @@ def _kept(raw_view: str, where: str) -> str:
     return duck(f"SELECT arrival_seq FROM ({raw_view}) AS raw WHERE {where}")
 
 
+def _only_money(spark, sf):
+    """Every collector is offered; the switches leave those of money."""
+    frames = all_frames(spark, sf)
+    off = {name: False for name in frames if name not in ("money", "balances")}
+    return exports.all_collectors(frames, {**SWITCHES, **off}).groupBy("kind").agg(F.count(F.lit(1)).alias("events"))
+
+
 def entries() -> dict[str, Query]:
     plain_from, plain_to = "trim(from_inventory, '\"')", "trim(to_inventory, '\"')"
     with_name = USES.replace("SELECT server_id,", "SELECT CASE part_key % 6 WHEN 0 THEN 'lockpick' WHEN 1 THEN 'bandage' "
@@ -176,10 +183,7 @@ def entries() -> dict[str, Query]:
                  f"count(*) FILTER (encoded IS NULL) AS unencodable FROM ({OVERSIZE}) AS raw GROUP BY server_id"),
         ),
         "collector_switches": Query(
-            lambda spark, sf: exports.all_collectors(
-                {k: v for k, v in all_frames(spark, sf).items() if k in ("money", "balances", "opens", "commands")},
-                {**SWITCHES, "commands": False},
-            ).groupBy("kind").agg(F.count(F.lit(1)).alias("events")),
+            _only_money,
             duck(f"SELECT 'money' AS kind, count(*) AS events FROM ({MONEY}) AS raw "
                  "WHERE event <> 'set' OR reason IS DISTINCT FROM 'Sync account with item'"),
         ),
