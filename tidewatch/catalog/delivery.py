@@ -96,6 +96,11 @@ def entries() -> dict[str, Query]:
             over(SMALL, lambda df: _packed(df, max_events=30, max_body=2048 + 9000, hot_rows=500)),
             duck(packed_sql(SMALL, 30, 9000)),
         ),
+        "pack_batches_null_boot": Query(
+            over(SMALL.replace("CAST(o_custkey % 2 AS STRING)", "nullif(CAST(o_custkey % 2 AS STRING), '0')"),
+                 lambda df: _packed(df, max_events=30, max_body=2048 + 9000, hot_rows=500)),
+            duck(packed_sql(SMALL, 30, 9000).replace("SELECT server_id, boot_id, seq,", "SELECT server_id, nullif(boot_id, '0') AS boot_id, seq,")),
+        ),
         "trim_backlog": Query(
             over(QUEUE, lambda df: _trimmed(df).select("server_id", "arrival_seq")),
             duck(f"""SELECT server_id, arrival_seq FROM (SELECT *, sum(event_bytes) OVER w AS total, count(*) OVER w AS n

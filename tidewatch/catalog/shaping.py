@@ -76,6 +76,20 @@ def _shown(folded):
     )
 
 
+# Every fourth player is unknown; the reference walk gives them a number no player has.
+NAMELESS = f"""
+SELECT server_id, arrival_seq, received_at, occurred_at, CASE WHEN source % 4 <> 0 THEN source END AS source, action,
+       category, channel, amount, props
+FROM ({EVENTS}) AS raw
+"""
+_NAMELESS_SQL = NAMELESS.replace("source END", "source ELSE -1 END")
+
+
+def fold_nameless(spark, sf, hot_rows=shaping.HOT_ROWS):
+    return shaping.coalesce_repeats(
+        frame(spark, sf, NAMELESS), KEYS, 24 * HOUR, 36 * HOUR, ["amount"], hot_rows=hot_rows)
+
+
 def fold(spark, sf, gap=GAP, hold=HOLD, hot_rows=shaping.HOT_ROWS):
     return shaping.coalesce_repeats(frame(spark, sf, EVENTS), KEYS, gap, hold, ["amount"], hot_rows=hot_rows)
 
@@ -147,6 +161,8 @@ WITH placed AS (
 
 
 def entries() -> dict[str, Query]:
+    nameless = duck(f"{folded_sql(24 * HOUR, 36 * HOUR, _NAMELESS_SQL)} "
+                    f"{_FOLD_OUT.replace(' source,', ' nullif(source, -1) AS source,')} FROM folded")
     return {
         "coalesce_repeats": Query(
             lambda spark, sf: _shown(fold(spark, sf)), duck(f"{folded_sql()} {_FOLD_OUT} FROM folded")),
@@ -154,6 +170,9 @@ def entries() -> dict[str, Query]:
             # Every key above 40 rows counts as hot, so this takes the way of the skewed keys.
             lambda spark, sf: _shown(fold(spark, sf, 24 * HOUR, 36 * HOUR, hot_rows=40)),
             duck(f"{folded_sql(24 * HOUR, 36 * HOUR)} {_FOLD_OUT} FROM folded")),
+        "coalesce_repeats_null_keys": Query(lambda spark, sf: _shown(fold_nameless(spark, sf)), nameless),
+        "coalesce_repeats_null_keys_split": Query(
+            lambda spark, sf: _shown(fold_nameless(spark, sf, hot_rows=40)), nameless),
         "rate_limit": Query(
             _limited, duck(f"{_DAYS} SELECT server_id, source, arrival_seq FROM placed WHERE nth <= {LIMIT}")),
         "rate_limit_report": Query(
