@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import parse_money_text
+from tidewatch.functions.text import lua_number, number_json, parse_money_text
 from tidewatch.operators import delivery, shaping, validate
 from tidewatch.plans.ordered import arrange
 from tidewatch.sources import sinks
@@ -79,3 +79,23 @@ def test_money_needs_the_whole_text(spark):
 def test_lists_match_names_beyond_ascii(spark):
     df = spark.createDataFrame([("BÄR", "bread"), ("other", "bread")], "resource string, item_name string")
     assert [r.resource for r in validate.drop_ignored_creators(df, ["BÄR"]).collect()] == ["other"]
+
+
+def test_large_and_small_numbers(spark):
+    texts = ["1e30", "12345678901234567890123", "0xFFFFFFFFFFFFFFFF", "0.0000001", "-0x10", "7"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("n", lua_number(F.col("t")))
+    assert [int(r.n * 10**7) for r in df.collect()] == [10**37, 12345678901234567890123 * 10**7, (2**64 - 1) * 10**7, 1, -16 * 10**7, 7 * 10**7]
+    assert [r.j for r in df.select(number_json(F.col("n")).alias("j")).collect()][2:] == ["18446744073709551615", "0.0000001", "-16", "7"]
+    assert df.agg(F.sum("n")).first()[0] is not None
+
+
+def test_callers_own_repeats_are_overwritten(spark):
+    """Data that already holds `repeats` does not end the job."""
+    rows = [("s", i, START + timedelta(seconds=i), START, f"e{i}", None, "cash_added", {"zone": '"1"'},
+             {"amount": "5", "repeats": "9", "repeatedUntil": '"x"'}) for i in range(3)]
+    df = spark.createDataFrame(rows, "server_id string, arrival_seq long, received_at timestamp, occurred_at timestamp, event_id string, "
+                                     "transaction_id string, action string, context map<string,string>, data map<string,string>")
+    none = ("channel", "category", "severity", "actor", "target", "correlation_id", "session_id", "entity_id")
+    df = df.withColumns({name: F.lit(None).cast("string") for name in none})
+    total = [r for r in shaping.fold_events(df).collect() if r.is_rollup]
+    assert len(total) == 1 and total[0].data["repeats"] == "2" and total[0].data["amount"] == "10"

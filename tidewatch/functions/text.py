@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tidewatch import fixed
 
-NUMBER = "decimal(28,6)"
+# Exact to seven decimals below 10^31; a sum beyond that is an error of the job, never a silent loss.
+NUMBER = "decimal(38,7)"
 DECIMAL_TEXT = r"^[ \t-\r]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t-\r]*\z"
-HEX_TEXT = r"^[ \t-\r]*[+-]?0[xX][0-9a-fA-F]{1,15}[ \t-\r]*\z"
+HEX_TEXT = r"^[ \t-\r]*[+-]?0[xX][0-9a-fA-F]{1,16}[ \t-\r]*\z"
 MONEY_TEXT = r"^\$?[0-9,]+\.?[0-9]*\z"
 
 
@@ -70,7 +71,7 @@ def lua_number(text: Column) -> Column:
     return (
         F.when(text.rlike(r"^-?[0-9]{1,18}\z"), text.cast("bigint").cast(NUMBER))
         .when(text.rlike(DECIMAL_TEXT), bare.try_cast(NUMBER))
-        .when(text.rlike(HEX_TEXT), (F.conv(digits, 16, 10).try_cast("bigint") * sign).cast(NUMBER))
+        .when(text.rlike(HEX_TEXT), (F.conv(digits, 16, 10).cast("decimal(20,0)") * sign).cast(NUMBER))
     )
 
 

@@ -29,7 +29,7 @@ HOOKS = {
     ),
     "craft_item": "source STRING, recipe_name STRING, bench_id STRING, count STRING, to_inventory STRING",
     "account_money": (
-        "event STRING, player_id INT, account STRING, amount DECIMAL(28,6), reason STRING, resource STRING"
+        "event STRING, player_id INT, account STRING, amount DECIMAL(38,7), reason STRING, resource STRING"
     ),
     "set_job": (
         "player_id INT, job STRUCT<name: STRING, label: STRING, grade: INT, grade_label: STRING>, "
