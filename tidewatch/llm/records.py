@@ -27,8 +27,8 @@ from tidewatch.llm.wordbpe import END, encoder
 HEAD, LENGTH, CHECK = struct.Struct("<qBBQQ"), struct.Struct("<Q"), struct.Struct("<I")
 #: Fixed: what masking adds to a checksum turned by 15 bits, so that data holding checksums does not fool it.
 MASK = 0xA282EAD8
-#: Bytes gathered before they are written, and records that one reader takes at a time.
-BUFFER, SLICE = 1 << 22, 2_000
+#: Bytes gathered before they are written, records that one reader takes at a time, and how often it does.
+BUFFER, SLICE, SLICES = 1 << 22, 2_000, 4
 
 
 def masked(data: bytes) -> bytes:
@@ -96,7 +96,7 @@ def write_records(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col
         system.create_dir(root)
         shard = TaskContext.get().partitionId()
         path = f"{root}/part-{shard:06d}-{uuid.uuid4().hex}"
-        offsets, at, before, waiting = [], 0, 0, []
+        offsets, at, before, waiting, written = [], 0, 0, [], 0
         with system.open_output_stream(path) as out:
             for batch in batches:
                 for name, text in zip(batch.column("id"), batch.column("text"), strict=True):
@@ -105,9 +105,9 @@ def write_records(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col
                     offsets.append(at)
                     waiting.append(record)
                     at, before = at + len(record), before + len(ids) // 4
-                    if sum(map(len, waiting[-64:])) > BUFFER or len(waiting) == 64:
+                    if at - written > BUFFER:
                         out.write(b"".join(waiting))
-                        waiting = []
+                        waiting, written = [], at
             out.write(b"".join(waiting))
         if not offsets:
             system.delete_file(path)
@@ -130,7 +130,9 @@ def read_records(manifest: DataFrame, folder: str, seed: int | None = None) -> D
     # One row for each file, so this order is over a short list.
     slices = manifest.select("shard", "path", "records", ahead.alias("ahead")).select(
         "*", F.explode(F.expr(f"sequence(0L, records - 1, {SLICE}L)")).alias("first"))
-    slices = slices.repartition(F.xxhash64(F.lit(seed or 0), "path", "first"))
+    # Rows of slices are small and what they stand for is not, so their number sets that of the tasks.
+    count = manifest.agg(F.sum(F.ceil(F.col("records") / SLICE))).first()[0] or 0
+    slices = slices.repartition(max(1, -(-count // SLICES)), F.xxhash64(F.lit(seed or 0), "path", "first"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, _ = place(folder)
