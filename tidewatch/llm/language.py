@@ -16,6 +16,8 @@ from tidewatch.llm.frames import stored
 
 #: Labelled rows of each language that the classifier is fitted on, and how many of them are landmarks.
 SAMPLE, LANDMARKS = 400, 64
+#: Shares of a language that its rows are chosen in first.
+SHARES = 16
 #: Penalty of the regression, and how fast a difference of its outputs turns into certainty.
 PENALTY, CERTAINTY = 1e-3, 4.0
 #: Letters told apart, by frequency in the sample; the others share one number, and all else is a gap.
@@ -95,8 +97,13 @@ def sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataF
     """lang and text of at most SAMPLE labelled rows of each language, chosen by a hash of the id."""
     id_, lang = F.col(f"`{id_col}`"), F.col(f"`{lang_col}`").cast("string")
     named = docs.where(id_.isNotNull() & lang.isNotNull() & F.col(f"`{text_col}`").isNotNull() & ~held_out(id_))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = named.select(id_.alias("id"), lang.alias("lang")).distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE)
+    # First within shares of a language, so that one with most of the rows is not one task's work.
+    narrow = named.select(id_.alias("id"), lang.alias("lang")).distinct().withColumn("share", F.pmod(F.hash("id"), F.lit(SHARES)))
+    least = F.xxhash64("id"), F.col("id")
+    chosen = narrow.withColumn("place", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*least))).where(F.col("place") <= SAMPLE)
+    chosen = chosen.select("id", "lang", F.row_number().over(Window.partitionBy("lang").orderBy(*least)).alias("place")).where(F.col("place") <= SAMPLE)
+    # Written first, its size is known before the texts move: Spark sends it to them if it is small.
+    chosen = stored(chosen)
     rows = named.select(id_.alias("id"), lang.alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.join(chosen, ["id", "lang"]).groupBy("lang", "place").agg(F.min("text").alias("text"))
 
