@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import shaping
+from tidewatch.operators.canonical import CANONICAL
+from tidewatch.operators.identity import party
 
 START = datetime(2024, 1, 1)
 SCHEMA = ("server_id string, who string, arrival_seq long, received_at timestamp, occurred_at timestamp, "
@@ -123,3 +125,17 @@ def test_volume_label(spark):
                                "channel string, category string, action string, received_at timestamp")
     rows = shaping.top_volume(df, 5).collect()
     assert [(r.label, r.events) for r in rows] == [("money cash_added", 3), ("shop sold", 1)]
+
+
+def test_report_as_event_is_stored_once(spark):
+    data = [("s", 7, n, START + timedelta(seconds=n)) for n in range(80)]
+    df = spark.createDataFrame(data, "server_id string, source int, arrival_seq long, received_at timestamp")
+    df = df.withColumn("actor", party(source=F.col("source"), name=F.lit("Ada")))
+    sent = [shaping.report_events(shaping.rate_limit_report(df, limit=30)).orderBy("received_at") for _ in range(2)]
+    assert sent[0].columns == list(CANONICAL)
+    first, again = (s.collect() for s in sent)
+    assert first == again and len(first) == 1
+    row = first[0]
+    assert (row.actor.name, row.received_at, row.action) == ("Ada", START + timedelta(seconds=60), "rate_limit_triggered")
+    assert row.data == {"dropped": "30", "reason": '"60 events in a minute; logging kept 30 and dropped the rest"'}
+    assert row.context == {"resource": '"tidewatch"'} and len(row.event_id) == 32

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.catalog.base import EVENTS, Query, duck, frame, spread, sql_stamp, stamp
+from tidewatch.functions.records import canonical_json
 from tidewatch.functions.text import lua_number
 from tidewatch.operators import shaping
 from tidewatch.operators.canonical import canonical_project
@@ -116,6 +117,41 @@ def _admitted(spark, sf):
     )
 
 
+def _delivered(spark, sf):
+    """Whole way from script records to what is delivered: admitted events, totals and reports."""
+    sent = shaping.deliverable(*shaped(spark, sf), WINDOW)
+    report = F.col("category") == "security"
+    return sent.select(
+        "server_id", F.col("actor.source").cast("bigint").alias("source"), "category", "action", "severity",
+        F.when(report, F.col("event_id")).alias("report_id"),
+        F.when(report, stamp(F.col("received_at"))).alias("reported_at"),
+        stamp(F.col("occurred_at")).alias("occurred_at"),
+        F.when(report, canonical_json(F.col("context"))).alias("report_context"),
+        F.when(report, canonical_json(F.col("data"))).alias("report_data"),
+        F.when(~report, lua_number(F.element_at("data", "amount")).cast("decimal(18,2)")).alias("amount"),
+        F.element_at("data", "repeats").cast("bigint").alias("repeats"),
+    )
+
+
+_WINDOW_US = WINDOW * 1_000_000
+_OVER = f"""over_limit AS (
+  SELECT server_id, source, CAST(floor(epoch_us(admit_at) / {_WINDOW_US}) AS BIGINT) * {_WINDOW_US} AS began,
+         count(*) - {LIMIT} AS dropped FROM numbered GROUP BY ALL HAVING count(*) > {LIMIT})"""
+_ENDED = sql_stamp(f"make_timestamp(began + {_WINDOW_US})")
+DELIVERED_SQL = f"""{folded_sql()}, {_OVER}
+SELECT server_id, source, category, action, NULL AS severity, NULL AS report_id, NULL AS reported_at,
+       {sql_stamp("date_trunc('second', occurred_at)")} AS occurred_at, NULL AS report_context, NULL AS report_data,
+       CAST(amount AS DECIMAL(18,2)) AS amount, repeats
+FROM numbered WHERE nth <= {LIMIT}
+UNION ALL
+SELECT server_id, source, 'security', 'rate_limit_triggered', 'warning',
+       left(sha256(server_id || '|' || source || '|' || began || '|rate_limit_triggered'), 32), {_ENDED}, {_ENDED},
+       '{{"resource":"tidewatch"}}',
+       '{{"dropped":' || dropped || ',"reason":"' || (dropped + {LIMIT})
+       || ' events in a minute; logging kept {LIMIT} and dropped the rest"}}', NULL, NULL
+FROM over_limit"""
+
+
 def _volume(spark, sf):
     admitted, _ = shaped(spark, sf)
     return shaping.top_volume(admitted, 15, at="admit_at")
@@ -199,6 +235,7 @@ def entries() -> dict[str, Query]:
             _conserved,
             duck("SELECT count(*) AS events, CAST(sum(amount) AS DECIMAL(18,2)) AS amount, 0 AS changed_keys "
                  f"FROM ({EVENTS}) AS raw")),
+        "shape_and_deliver": Query(_delivered, duck(DELIVERED_SQL)),
         "shape_events": Query(
             _admitted,
             duck(f"{folded_sql()} SELECT server_id, source, action, arrival_seq, CAST(amount AS DECIMAL(18,2)) AS amount, "

@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
-from tidewatch.functions.records import SUMMED, fold_key, json_object
+from tidewatch.functions.records import SUMMED, event_id, fold_key, json_object
 from tidewatch.functions.text import lua_number, number_json, text_json, utc_text
+from tidewatch.operators.canonical import CANONICAL, SELF
+from tidewatch.operators.identity import PARTY
 from tidewatch.plans.chains import OPENS, START, mark_chain
 from tidewatch.plans.keys import join_on
 from tidewatch.plans.ordered import HOT_ROWS, arrange
@@ -189,6 +191,32 @@ def rate_limit_report(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
     )
 
 
+def report_events(report: DataFrame, window: float = fixed.LIMIT_SECONDS) -> DataFrame:
+    """The reports of a ceiling over canonical events as canonical events themselves.
+
+    A report arrives when its window ends. It has no place in the order of arrival; its id comes
+    from server, player and window, so that a replay reports under the same id.
+    """
+    ends = F.timestamp_micros(F.unix_micros("window_start") + round(window * MICROS))
+    whose = F.concat_ws("|", F.col("source").cast("string"), F.unix_micros("window_start").cast("string"))
+    made = {
+        "received_at": ends, "occurred_at": F.date_trunc("second", ends),
+        "event_id": event_id(F.lit(None).cast("string"), F.col("server_id"), whose, F.col("action")),
+        "context": json_object(resource=text_json(F.lit(SELF))),
+        "data": json_object(reason=text_json(F.col("reason")), dropped=F.col("dropped").cast("string")),
+        "arrival_seq": F.lit(None).cast("bigint"), "target": F.lit(None).cast(PARTY),
+    }
+    given = ("server_id", "category", "action", "severity", "actor")
+    return report.select(*[
+        (F.col(name) if name in given else made.get(name, F.lit(None).cast("string"))).alias(name) for name in CANONICAL
+    ])
+
+
+def deliverable(admitted: DataFrame, report: DataFrame, window: float = fixed.LIMIT_SECONDS) -> DataFrame:
+    """What leaves shaping: the admitted events and the reports, in the canonical columns."""
+    return admitted.select(*CANONICAL).unionByName(report_events(report, window))
+
+
 def volume_label(channel: Column, category: Column, action: Column) -> Column:
     return F.concat(F.coalesce(channel, category, F.lit("?")), F.lit(" "), action)
 
