@@ -116,6 +116,31 @@ def test_articles(spark):
     assert got[4] == got[0] and got[5] == got[7] == ""
 
 
+@pytest.mark.parametrize("wrap", [
+    '<body class="has-sidebar">{}', '<body class="layout sidebar-right">{}', '<html class="cookie-ok"><body>{}', '<body><article class="post no-comments">{}</article>',
+    '<body><main id="banner">{}</main>', '<body><div id="page" class="layout sidebar-right">{}</div>', '<body><form method="post" id="aspnet">{}</form>',
+    '<head><meta charset="utf-8"><title>T</title><link rel="x" href="y"><body>{}', '<head><title>T</title>{}'])
+def test_whole_pages_are_not_marked(wrap):
+    """Classes of what holds the page, a form around it and a head that is not closed leave its text."""
+    inner = '<div><p>{}</p></div><div class="cookie-notice">We use cookies</div><div class="post__share-buttons">Tweet</div><footer>us</footer>'
+    words = " ".join(f"w{k}" for k in range(40))
+    page = html.parse("<!DOCTYPE html>" + wrap.format(inner.format(words)))
+    assert html.main_text(page, html.repeated([page])[0]) == words
+
+
+def test_long_comments_beside_an_article_stay_marked():
+    words, comments = " ".join(f"w{k}" for k in range(40)), " ".join(f"c{k}" for k in range(90))
+    page = html.parse(f'<form><article><p>{words}</article><section id="comments">{comments}</section></form>')
+    assert html.main_text(page, html.repeated([page])[0]) == words
+
+
+def test_an_advert_is_marked_on_a_copy(spark):
+    """An article that another page repeats still stands beside the words a marked element alone has."""
+    words = " ".join(f"w{k}" for k in range(40))
+    got = text_of(pages(spark, [f'<div class="ad">buy {k}</div><article>{words}</article>' for k in range(2)]))
+    assert got == {0: words, 1: words}
+
+
 def test_pages_that_declare_no_body(spark):
     """What the pages of a host share is told from what is their own."""
     shared = "Read all about our ten best offers of the season and subscribe today for more"
