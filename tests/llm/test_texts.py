@@ -44,6 +44,22 @@ def test_thresholds_follow_language_and_source(spark):
     assert not got[500]["kept"] and got[500]["odd"] == ["symbols"]
 
 
+def test_every_rule_can_be_broken(spark):
+    """One planted text for each rule, all of them past the base rules, beside clean ones."""
+    plain_ = lambda i, n=60: [f"w{i}x{k}" for k in range(n)]
+    rows = [(i, " ".join(plain_(i)), "en", "s", 0) for i in range(200)]
+    again = plain_(300, 14) + plain_(301, 72)
+    odd = {"word_length": " ".join(w * 4 for w in plain_(400)), "symbols": " ".join(w + "#" for w in plain_(401)),
+           "dup_lines": "\n".join(f"a{k} b{k} c{k}\nyes" for k in range(12)), "repeats": " ".join(again + again[:14]),
+           "again": " ".join(f"{w} {w}" for w in plain_(402, 30))}
+    rows += [(rule, t, "en", "s", 0) for rule, t in odd.items()]
+    docs = spark.createDataFrame([(str(i), *r) for i, *r in rows], SCHEMA.replace("doc_id long", "doc_id string"))
+    got = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert {i for i, r in got.items() if not r["kept"]} == set(odd)
+    assert all(rule in got[rule]["odd"] for rule in odd)
+
+
 def test_sketches_merge_and_hold_their_error(spark):
     rows = frame(spark, [(i, " ".join("x" * (1 + (i * k) % 9) for k in range(30))) for i in range(300)])
     measured = quality.features(rows)

@@ -26,10 +26,15 @@ REACH, ENOUGH = 4.0, 50
 RULES = {
     "word_length": ("word_chars / nullif(n_words, 0)", 0.6, True),
     "symbols": ("n_symbols / nullif(n_words, 0)", 0.025, False),
-    "dup_lines": ("n_dup_lines / nullif(n_lines, 0)", 0.15, False),
-    "repeats": ("n_repeat_words / nullif(n_words, 0)", 0.1, False),
+    "dup_lines": ("n_dup_lines / nullif(n_lines, 0)", 0.3, False),
+    "repeats": ("n_repeat_words / nullif(n_words, 0)", 0.2, False),
     "again": ("n_again / nullif(n_words, 0)", 0.05, False),
 }
+#: Rules that nearly all texts have a 0 for, so that the middle half tells nothing, and the highest value a
+#: judged text can have. Their threshold lies beyond the TAIL quantile by as much as that is from the
+#: median, but at most NEARER of the way to the highest value, so that it can be broken.
+TAILED = {"dup_lines": 1.0, "repeats": 0.3}
+TAIL, NEARER, ENOUGH_TAIL = 0.98, 0.9, 100
 
 
 def repeat_words(codes: np.ndarray, size: int = WINDOW) -> int:
@@ -101,12 +106,16 @@ def fences(sketches: DataFrame, keys: list[str]) -> DataFrame:
     run = merged.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("all", F.sum("n").over(group))
     value = lambda b: F.when(b > -10_000, F.pow(F.lit(GAMMA), b) * (2 / (1 + GAMMA))).otherwise(0.0)
     at = lambda share: value(F.min(F.when(F.col("upto") >= share * F.col("all"), F.col("bucket"))))
-    middle = run.groupBy(*keys, "rule").agg(F.max("all").alias("documents"), at(0.25).alias("low"), at(0.75).alias("high"))
-    least, sided = F.lit(None), F.lit(False)
+    middle = run.groupBy(*keys, "rule").agg(F.max("all").alias("documents"), at(0.25).alias("low"), at(0.75).alias("high"),
+                                               at(0.5).alias("median"), at(TAIL).alias("tail"))
+    least, sided, top = F.lit(None), F.lit(False), F.lit(None)
     for rule, (_, width, both) in RULES.items():
         least, sided = F.when(F.col("rule") == rule, width).otherwise(least), F.when(F.col("rule") == rule, both).otherwise(sided)
+    for rule, highest in TAILED.items():
+        top = F.when(F.col("rule") == rule, highest).otherwise(top)
     reach = F.greatest(F.col("high") - F.col("low"), least) * REACH
-    return middle.select(*keys, "rule", "documents", F.when(sided, F.col("low") - reach).alias("least"), (F.col("high") + reach).alias("most"))
+    beyond = F.least(F.greatest(F.col("tail") - F.col("median"), least), (top - F.col("tail")) * NEARER)
+    return middle.select(*keys, "rule", "documents", F.when(sided, F.col("low") - reach).alias("least"), F.when(top.isNotNull(), F.col("tail") + beyond).otherwise(F.col("high") + reach).alias("most"))
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
@@ -117,8 +126,10 @@ def thresholds(measured: DataFrame) -> DataFrame:
             .join(by_lang.alias("l"), F.col("g.lang").eqNullSafe(F.col("l.lang")) & (F.col("g.rule") == F.col("l.rule")))
             .join(by_all.alias("a"), F.col("g.rule") == F.col("a.rule")))
 
+    enough = F.when(F.col("g.rule").isin(*TAILED), ENOUGH_TAIL).otherwise(ENOUGH)
+
     def best(side: str) -> Column:
-        return (F.when(F.col("g.documents") >= ENOUGH, F.col(f"g.{side}")).when(F.col("l.documents") >= ENOUGH, F.col(f"l.{side}"))
+        return (F.when(F.col("g.documents") >= enough, F.col(f"g.{side}")).when(F.col("l.documents") >= enough, F.col(f"l.{side}"))
                 .otherwise(F.col(f"a.{side}")))
 
     chosen = wide.select("g.lang", "g.source", "g.rule", best("least").alias("least"), best("most").alias("most"))
@@ -132,7 +143,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     A text fails the base with fewer than 20 words, or with more than 30 % of them in repeated windows.
     The others make the sketches of their language and source, and a text goes if a measure is odd
     there: beyond the middle half of the values by more than REACH times its width, a least width being
-    set for each rule. Nothing goes for being the worst of a clean source.
+    set for each rule; for TAILED rules, beyond the TAIL quantile. Nothing goes for being the worst of a clean source.
 
     Columns: doc_id, the FEATURES, base_failed, kept, odd (the rules it broke).
     A null text has no words and fails the base. Null languages and sources are groups like others.
