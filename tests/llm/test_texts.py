@@ -165,6 +165,26 @@ def test_pages_that_declare_no_body(spark):
     assert all(got[k] == " ".join(f"p{k}w{i}" for i in range(40)) for k in range(5))
 
 
+@pytest.mark.parametrize("n", [2, 3, 8])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_copies_with_a_line_of_their_own(spark, tag, n):
+    """A print version or reposted copy keeps its text though its date line differs; what the host repeats still goes."""
+    article = " ".join(f"w{k}" for k in range(60))
+    shared = "Read all about our ten best offers of the season and subscribe today for more"
+    bodies = [f"<div>day{k}</div><{tag}>{article}</{tag}><div>{shared}</div>" for k in range(n)]
+    bodies += [f"<div><p>{' '.join(f'p{k}w{i}' for i in range(40))}</p></div><div>{shared}</div>" for k in range(30)]
+    got = text_of(pages(spark, bodies))
+    for k in range(n):
+        assert got[k] == (article if tag == "article" else f"day{k} {article}") or got[k] == article
+    assert all(got[n + k] == " ".join(f"p{k}w{i}" for i in range(40)) for k in range(30))
+
+
+def test_two_copies_alone_on_a_host(spark):
+    article = " ".join(f"w{k}" for k in range(60))
+    got = text_of(pages(spark, [f"<p>day{k}</p><article>{article}</article>" for k in range(2)]))
+    assert got == {0: article, 1: article}
+
+
 def test_suffixes_find_every_repeat():
     rnd = random.Random(5)
     run = [f"r{k}" for k in range(12)]
