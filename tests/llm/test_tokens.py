@@ -144,3 +144,16 @@ def test_hot_class_over_shares(spark, monkeypatch):
     rows = [(i, "same words here") for i in range(200)] + [(1000 + i, f"own {i} " * (i + 1)) for i in range(40)]
     got = packing.pack(frame(spark, rows)).collect()
     assert len(got) == len({(r["sequence_id"], r["offset"]) for r in got}) == 240
+
+
+def test_short_texts_leave_little_padding(spark):
+    """Empty texts are one token each, so thousands share a sequence; every piece is placed once, none over another."""
+    rows = [(i, None if i % 2 else "") for i in range(5000)] + [(5000 + i, f"the tide of {i}") for i in range(1500)] + [(7000, "word " * 9000)]
+    got = packing.pack(frame(spark, rows)).collect()
+    assert len({(r["doc_id"], r["start"]) for r in got}) == len(got) and {r["doc_id"] for r in got} == {i for i, _ in rows}
+    ends = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= packing.ROOM
+    assert len(ends) <= 1 + -(-1.02 * sum(ends.values()) // packing.ROOM)
