@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions.text import let
 from tidewatch.llm.frames import SPACE, texts
 
 #: Words whose suffixes are sorted at once, and suffixes tested at once: bounds of a task's memory. A longer
@@ -232,12 +233,17 @@ def planted(doc_id: Column, text: Column) -> Column:
     place on repeat with a period; both come from the checksum. Without an id or a word nothing changes."""
     mark = F.crc32(doc_id.cast("string").cast("binary"))
     step = F.floor(mark / 10)
+
+    def repeated(words: Column) -> Column:
+        size = F.size(words)
+        shape = F.struct((step % F.greatest(size, F.lit(1))).alias("first"), size.alias("size"))
+        return let(shape, lambda s: let(
+            F.lit(1) + F.floor((s["size"] - s["first"]) / (F.lit(3) + step % 8)),
+            lambda period: F.array_join(F.transform(words, lambda w, i: F.when(i < s["first"], w).otherwise(
+                F.get(words, (s["first"] + (i - s["first"]) % period).cast("int")))), " ")))
+
     words = F.filter(F.split(text, f"{SPACE}+"), lambda w: w != "")
-    size = F.size(words)
-    first = step % F.greatest(size, F.lit(1))
-    period = F.lit(1) + F.floor((size - first) / (F.lit(3) + step % 8))
-    repeated = F.transform(words, lambda w, i: F.when(i < first, w).otherwise(F.get(words, (first + (i - first) % period).cast("int"))))
-    return F.when(mark.isNull() | (mark % 10 != 0) | text.isNull() | (size == 0), text).otherwise(F.array_join(repeated, " "))
+    return F.when(mark.isNull() | (mark % 10 != 0) | text.isNull(), text).otherwise(let(words, repeated))
 
 
 def run_digest(docs: DataFrame) -> DataFrame:
