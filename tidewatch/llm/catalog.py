@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.catalog.base import Query
-from tidewatch.llm import exact_dedup, html, language, lexicon, line_dedup, packing, periods, quality, records, regions, simhash, substring_dedup
+from tidewatch.llm import collocations, exact_dedup, html, language, lexicon, line_dedup, packing, periods, quality, records, regions, simhash, substring_dedup
 from tidewatch.session import configure
 
 
@@ -30,6 +30,7 @@ def entries() -> dict[str, Query]:
         "op8_packing": over("documents", packing.pack),
         "op9_html_extraction": over("pages", html.extract),
         "op10_substring_dedup": Query(over("documents", substring_dedup.passage_digest).run, substring_dedup.ORACLE),
+        "op11_collocations": Query(over("documents", collocations.collocations).run, collocations.ORACLE),
         "op12_periodic_runs": over("documents", periods.run_digest),
         "op13_jaccard_join": over("documents", regions.jaccard_classes),
     }
