@@ -121,7 +121,7 @@ class Ordered:
         return self.replace(joined.withColumn(name, patched).drop("_edge", "_carried"))
 
 
-def _written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder: a lost executor then costs no second computation."""
     folder = f"{ensure_checkpoint_dir(df.sparkSession)}/ordered-{uuid.uuid4().hex}"
     df.write.parquet(folder)
@@ -156,7 +156,7 @@ def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys, order = tuple(keys), tuple(order)
     total = 0
     if hot_rows is not None and not _surely_small(df, hot_rows):
-        found = _written(hot_keys(df if counted is None else counted, keys, hot_rows))
+        found = written(hot_keys(df if counted is None else counted, keys, hot_rows))
         total = found.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     if not total:
         return Ordered(df.withColumn(SLICE, F.lit(0)), keys, order, False)
@@ -165,7 +165,7 @@ def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     slices = max(2, -(-2 * total // hot_rows))
     # The slice is part of the data from here on: both passes over it must see the same borders,
     # also after an executor is lost, so the ranges are written to the shared folder once.
-    hot = _written(
+    hot = written(
         join_on(df, names, keys, "left_semi")
         .repartitionByRange(slices, *keys, *order)
         .withColumn(SLICE, F.spark_partition_id() + 1)
