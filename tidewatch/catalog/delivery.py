@@ -14,6 +14,12 @@ SELECT server_id, arrival_seq + 1000000000, received_at + INTERVAL 5 SECOND, 'e'
 FROM ({EVENTS}) AS again WHERE arrival_seq % 3 = 0
 """
 
+# Every fourth event lost its id.
+NAMELESS = f"""
+SELECT server_id, arrival_seq, received_at, CASE WHEN CAST(substring(event_id, 2) AS BIGINT) % 4 <> 0 THEN event_id END AS event_id
+FROM ({REPLAYED}) AS replayed
+"""
+
 QUEUE = """
 SELECT CAST(doc_id % 4 AS STRING) AS server_id, 'b' || CAST(doc_id % 2 AS STRING) AS boot_id, doc_id AS arrival_seq,
        CAST(octet_length(encode(text, 'utf-8')) + 1 AS BIGINT) AS event_bytes, CAST(doc_id AS STRING) AS payload,
@@ -91,6 +97,11 @@ def entries() -> dict[str, Query]:
             over(REPLAYED, lambda df: delivery.dedup_events(df).select("server_id", "event_id", "arrival_seq")),
             duck(f"SELECT server_id, event_id, min(arrival_seq) AS arrival_seq FROM ({REPLAYED}) AS raw GROUP BY 1, 2"),
         ),
+        "dedup_null_ids": Query(
+            over(NAMELESS, lambda df: delivery.dedup_events(df).select("server_id", "event_id", "arrival_seq")),
+            duck(f"SELECT server_id, event_id, min(arrival_seq) AS arrival_seq FROM ({NAMELESS}) AS raw WHERE event_id IS NOT NULL "
+                 f"GROUP BY 1, 2 UNION ALL SELECT server_id, event_id, arrival_seq FROM ({NAMELESS}) AS raw WHERE event_id IS NULL"),
+        ),
         "pack_batches": Query(over(QUEUE, _packed), duck(packed_sql(QUEUE_SQL, 200, 900000 - 2048))),
         "pack_batches_split": Query(
             over(SMALL, lambda df: _packed(df, max_events=30, max_body=2048 + 9000, hot_rows=500)),

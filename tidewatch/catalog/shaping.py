@@ -166,6 +166,25 @@ def _limited(spark, sf):
     return kept.select("server_id", "source", "arrival_seq")
 
 
+# Every seventh event has no time, every fifth no number, every fourth player is unknown; `id` tells rows apart.
+GAPPY = f"""
+SELECT server_id, arrival_seq AS id, CASE WHEN arrival_seq % 5 <> 0 THEN arrival_seq END AS arrival_seq,
+       CASE WHEN arrival_seq % 7 <> 0 THEN received_at END AS received_at, CASE WHEN source % 4 <> 0 THEN source END AS source,
+       action
+FROM ({EVENTS}) AS raw
+"""
+
+
+def _limited_gappy(spark, sf):
+    kept = shaping.rate_limit(frame(spark, sf, GAPPY), LIMIT, 24 * HOUR, source="source")
+    return kept.select("server_id", "source", "id", "arrival_seq", stamp(F.col("received_at")).alias("received_at"))
+
+
+def _report_gappy(spark, sf):
+    report = shaping.rate_limit_report(frame(spark, sf, GAPPY), LIMIT, 24 * HOUR, source="source", actor="action")
+    return report.select("server_id", "source", stamp(F.col("window_start")).alias("window_start"), "dropped", "actor")
+
+
 def _report(spark, sf):
     report = shaping.rate_limit_report(_plain(spark, sf), LIMIT, 24 * HOUR, source="source",
                                        actor="action")
@@ -196,6 +215,9 @@ WITH placed AS (
 """
 
 
+_DAYS_GAPPY = _DAYS.replace(EVENTS, GAPPY)
+
+
 def entries() -> dict[str, Query]:
     nameless = duck(f"{folded_sql(24 * HOUR, 36 * HOUR, _NAMELESS_SQL)} "
                     f"{_FOLD_OUT.replace(' source,', ' nullif(source, -1) AS source,')} FROM folded")
@@ -211,6 +233,16 @@ def entries() -> dict[str, Query]:
             lambda spark, sf: _shown(fold_nameless(spark, sf, hot_rows=40)), nameless),
         "rate_limit": Query(
             _limited, duck(f"{_DAYS} SELECT server_id, source, arrival_seq FROM placed WHERE nth <= {LIMIT}")),
+        "rate_limit_null_time": Query(
+            _limited_gappy,
+            duck(f"{_DAYS_GAPPY} SELECT server_id, source, id, arrival_seq, {sql_stamp('received_at')} AS received_at FROM placed "
+                 f"WHERE nth <= {LIMIT} OR source IS NULL OR received_at IS NULL")),
+        "rate_limit_report_null_time": Query(
+            _report_gappy,
+            duck(f"{_DAYS_GAPPY} SELECT server_id, source, strftime(make_timestamp(CAST(bucket * {DAY_US} AS BIGINT)), "
+                 f"'%Y-%m-%d %H:%M:%S.%f') AS window_start, count(*) - {LIMIT} AS dropped, "
+                 f"arg_min(action, nth) FILTER (nth > {LIMIT}) AS actor FROM placed WHERE source IS NOT NULL AND bucket IS NOT NULL "
+                 f"GROUP BY server_id, source, bucket HAVING count(*) > {LIMIT}")),
         "rate_limit_report": Query(
             _report,
             duck(f"{_DAYS} SELECT server_id, source, strftime(make_timestamp(CAST(bucket * {DAY_US} AS BIGINT)), "

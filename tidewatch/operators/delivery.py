@@ -16,13 +16,15 @@ from tidewatch.plans.ordered import HOT_ROWS, SLICE, arrange
 
 def dedup_events(df: DataFrame, keys: Sequence[str] = ("server_id", "event_id"),
                  order: Sequence[str] = ("received_at", "arrival_seq")) -> DataFrame:
-    """One row per event id, the first to arrive.
+    """One row per event id, the first to arrive; rows without an id are no copies and all stay.
 
     "row_number = 1" is cut within each task before the shuffle, so an id replayed a billion times
-    sends one row per map task.
+    sends one row per map task. Only the last of `keys`, the id, is looked at for NULL.
     """
+    named = F.col(keys[-1]).isNotNull()
     placed = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_place", F.row_number().over(placed)).filter(F.col("_place") == 1).drop("_place")
+    first = df.filter(named).withColumn("_place", F.row_number().over(placed)).filter(F.col("_place") == 1).drop("_place")
+    return first.unionByName(df.filter(~named))
 
 
 def pack_batches(df: DataFrame, keys: Sequence[str] = ("server_id", "boot_id"),
@@ -49,7 +51,7 @@ def pack_batches(df: DataFrame, keys: Sequence[str] = ("server_id", "boot_id"),
     # The chain reads three numbers per row; payloads stay in the JVM.
     lean = rows.df.select(*keys, SLICE, *order, "_at", "_filled", "_size")
     chained = mark_chain(lean, keys, list(order), meter="_at", step=limit, filled="_filled",
-                         size="_size", room=room, sliced=rows.sliced)
+                         size="_size", room=room, sliced=rows.sliced, hot_rows=hot_rows)
     starts = chained.filter(OPENS).select(*keys, F.col("_at").alias("_first"))
     numbered = arrange(starts, keys, ["_first"], hot_rows).running_sum(F.lit(1).cast("bigint"), "seq")
     placed = join_on(

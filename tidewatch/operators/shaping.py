@@ -15,7 +15,7 @@ from tidewatch.operators.canonical import CANONICAL, SELF
 from tidewatch.operators.identity import PARTY
 from tidewatch.plans.chains import OPENS, START, mark_chain
 from tidewatch.plans.keys import join_on
-from tidewatch.plans.ordered import HOT_ROWS, arrange
+from tidewatch.plans.ordered import HOT_ROWS, arrange, written
 
 MICROS = 1_000_000
 FOLD_COLUMNS = ("repeats", "repeated_until", "is_rollup", "admit_at")
@@ -55,7 +55,7 @@ def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_
     within = F.col("_t") - F.col("_island") < hold_us
     near = rows.df.filter(within).withColumns({START: F.col("_island"), OPENS: fresh})
     far = mark_chain(rows.df.filter(~within), [*keys, "_island"], ["_t", seq], meter="_t",
-                     step=hold_us, sliced=rows.sliced)
+                     step=hold_us, sliced=rows.sliced, hot_rows=hot_rows)
 
     def repeat(value: Column) -> Column:
         return F.when(~F.col(OPENS), value)
@@ -113,15 +113,11 @@ def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_
     ))
 
 
-def _ceiling(df: DataFrame, limit: int, window: float, origin: float, source: str,
-             order: Sequence[Column]) -> DataFrame:
-    """Rows numbered within (server, player, window); rows without a player stand alone."""
+def _ceiling(df: DataFrame, window: float, origin: float, source: str, order: Sequence[Column]) -> DataFrame:
+    """Rows of players numbered within (server, player, window)."""
     width, start = round(window * MICROS), round(origin * MICROS)
     bucket = F.floor((F.unix_micros("admit_at") - start) / width)
-    alone = F.concat_ws(":", F.lit("row"), F.col("arrival_seq"), F.col("is_rollup"))
-    named = df.withColumns({
-        "_who": F.coalesce(F.col(source).cast("string"), alone), "_bucket": bucket,
-    })
+    named = df.withColumns({"_who": F.col(source).cast("string"), "_bucket": bucket})
     placed = Window.partitionBy("server_id", "_who", "_bucket").orderBy(*order)
     return named.withColumn("_place", F.row_number().over(placed))
 
@@ -142,7 +138,7 @@ def admission_order() -> list[Column]:
 def rate_limit(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
                window: float = fixed.LIMIT_SECONDS, origin: float = 0.0,
                source: str = "actor.source") -> DataFrame:
-    """The first `limit` rows of each player and window; rows without a player pass.
+    """The first `limit` rows of each player and window; rows without a player, or without a time, pass.
 
     Spark turns "row_number <= limit" into a per-task cut before the shuffle, so a flooding player
     costs `limit` rows per map task however many rows it sent.
@@ -150,18 +146,25 @@ def rate_limit(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
     if limit <= 0:
         return df
     added = [name for name in ("admit_at", "is_rollup") if name not in df.columns]
-    placed = _ceiling(_admission(df), limit, window, origin, source, admission_order())
-    return placed.filter(F.col("_place") <= limit).drop("_who", "_bucket", "_place", *added)
+    rows = _admission(df)
+    limited = F.col(source).isNotNull() & F.col("admit_at").isNotNull()
+    placed = _ceiling(rows.filter(limited), window, origin, source, admission_order())
+    kept = placed.filter(F.col("_place") <= limit).drop("_who", "_bucket", "_place")
+    # A filter that also let the others pass would keep Spark from cutting players before the shuffle.
+    return kept.unionByName(rows.filter(~limited)).drop(*added)
 
 
 def rate_limit_report(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
                       window: float = fixed.LIMIT_SECONDS, origin: float = 0.0,
                       source: str = "actor.source", actor: str = "actor") -> DataFrame:
-    """One row per player and window over the ceiling: how many were dropped and who sent them."""
+    """One row per player and window over the ceiling: how many were dropped and who sent them.
+
+    Rows without a time are in no window and never dropped, so they are not reported either.
+    """
     rows = _admission(df)
     width, start = round(window * MICROS), round(origin * MICROS)
     bucket = F.floor((F.unix_micros("admit_at") - start) / width)
-    players = rows.filter(F.col(source).isNotNull()).select(
+    players = rows.filter(F.col(source).isNotNull() & F.col("admit_at").isNotNull()).select(
         "server_id", F.col(source).alias("source"), bucket.alias("bucket"), "admit_at",
         "is_rollup", "arrival_seq", F.col(actor).alias("actor"),
     )
@@ -311,6 +314,9 @@ def shape_events(events: DataFrame, gap: float = fixed.GAP_SECONDS,
                  max_hold: float = fixed.HOLD_SECONDS, limit: int = fixed.PLAYER_LIMIT,
                  window: float = fixed.LIMIT_SECONDS, flush_at: str | None = None,
                  hot_rows: int | None = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Fold, then cap each player: (rows admitted, reports of what the cap dropped)."""
-    folded = fold_events(events, gap, max_hold, flush_at, hot_rows)
+    """Fold, then cap each player: (rows admitted, reports of what the cap dropped).
+
+    The folded rows are written to the shared folder once; the ceiling and the report read them there.
+    """
+    folded = written(fold_events(events, gap, max_hold, flush_at, hot_rows))
     return rate_limit(folded, limit, window), rate_limit_report(folded, limit, window)
