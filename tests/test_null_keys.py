@@ -68,7 +68,7 @@ def test_replay_across_midnight_is_stored_once(spark, tmp_path):
     schema = "server_id string, event_id string, category string, received_at timestamp, arrival_seq long"
     for seq, at in enumerate((datetime(2024, 1, 1, 23, 59, 58), datetime(2024, 1, 2, 0, 0, 3))):
         sinks.write_canonical(spark.createDataFrame([("s", "a", "money", at, seq)], schema), str(tmp_path / "table"))
-    assert [r.arrival_seq for r in spark.read.parquet(str(tmp_path / "table")).collect()] == [0]
+    assert [r.arrival_seq for r in sinks.read_canonical(spark, str(tmp_path / "table")).collect()] == [0]
 
 
 def test_money_needs_the_whole_text(spark):
@@ -99,3 +99,18 @@ def test_callers_own_repeats_are_overwritten(spark):
     df = df.withColumns({name: F.lit(None).cast("string") for name in none})
     total = [r for r in shaping.fold_events(df).collect() if r.is_rollup]
     assert len(total) == 1 and total[0].data["repeats"] == "2" and total[0].data["amount"] == "10"
+
+
+def test_rows_without_time_player_or_number_pass_the_ceiling(spark):
+    rows = [("s", 1, None, None)] * 3 + [("s", None, START, i) for i in range(4)] + [("s", None, START, None)] * 3 + [("s", 2, START, None)] * 5
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "server_id string, source int, received_at timestamp, arrival_seq long, id int")
+    kept = Counter((r.source, r.received_at is None) for r in shaping.rate_limit(df, 2, source="source").collect())
+    assert kept == {(1, True): 3, (None, False): 7, (2, False): 2}
+    report = shaping.rate_limit_report(df, 2, source="source", actor="id").collect()
+    assert [(r.source, r.dropped) for r in report] == [(2, 3)] and report[0].window_start == START
+
+
+def test_events_without_an_id_are_no_copies(spark):
+    rows = [("s", None, START, i) for i in range(3)] + [("s", "a", START, 7), ("s", "a", START, 5)]
+    df = spark.createDataFrame(rows, "server_id string, event_id string, received_at timestamp, arrival_seq long")
+    assert sorted(r.arrival_seq for r in delivery.dedup_events(df).collect()) == [0, 1, 2, 5]

@@ -71,11 +71,71 @@ def test_writing_twice_stores_once(spark, tmp_path):
     path = str(tmp_path / "table")
     for _ in range(2):
         sinks.write_canonical(df, path)
-    assert sorted(r.arrival_seq for r in spark.read.parquet(path).collect()) == [1, 3]
+    assert sorted(r.arrival_seq for r in sinks.read_canonical(spark, path).collect()) == [1, 3]
+
+
+EVENT = "server_id string, event_id string, category string, received_at timestamp, arrival_seq long"
+
+
+def day(spark, number, ids):
+    return spark.createDataFrame([("s", i, "money", datetime(2024, 1, number), 100 * number + k) for k, i in enumerate(ids)], EVENT)
+
+
+def test_a_batch_opens_only_files_that_may_hold_its_ids(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for number in (1, 2, 3):
+        sinks.write_canonical(day(spark, number, [f"d{number}-{k}" for k in range(50)]).coalesce(1), path, commit=f"day{number}")
+    late = day(spark, 9, ["d2-7", "new", None])
+    assert {name.split("/")[0] for name in sinks.may_hold(late, path)} == {"day2"}
+    sinks.write_canonical(late, path, commit="late")
+    stored = sinks.read_canonical(spark, path)
+    assert stored.count() == 152 and stored.filter("event_id = 'd2-7'").first().arrival_seq == 207
+    # Run again after a failure: the same commit, nothing twice, not even the event without an id.
+    sinks.write_canonical(late, path, commit="late")
+    assert sinks.read_canonical(spark, path).filter("event_id IS NULL").count() == 1
+    sinks.compact(spark, path, 2)
+    whole = sinks.read_canonical(spark, path)
+    assert whole.count() == 152 and len(whole.inputFiles()) <= 2
+    sinks.write_canonical(day(spark, 4, ["d1-1", "d4-0"]), path)
+    assert sinks.read_canonical(spark, path).count() == 153
+    sinks.write_canonical(day(spark, 5, ["only"]), path, mode="overwrite")
+    assert [r.event_id for r in sinks.read_canonical(spark, path).collect()] == ["only"]
+
+
+def test_more_ids_than_are_looked_up_singly(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "LOOKED_UP", 3)
+    path = str(tmp_path / "table")
+    for number in (1, 2):
+        sinks.write_canonical(day(spark, number, [f"i{k}" for k in range(40 * number)]), path)
+    assert sinks.read_canonical(spark, path).count() == 80
+
+
+def test_a_killed_write_leaves_nothing_readable(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    sinks.write_canonical(day(spark, 1, ["a"]), path)
+
+    def dies(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, "_commit", dies)
+        with pytest.raises(RuntimeError):
+            sinks.write_canonical(day(spark, 2, ["b"]), path, commit="second")
+    assert [r.event_id for r in sinks.read_canonical(spark, path).collect()] == ["a"]
+    sinks.write_canonical(day(spark, 2, ["b"]), path, commit="second")
+    assert sorted(r.event_id for r in sinks.read_canonical(spark, path).collect()) == ["a", "b"]
+
+
+def test_an_unreadable_table_is_not_taken_for_none(spark, tmp_path):
+    (tmp_path / "table" / "commits").mkdir(parents=True)
+    (tmp_path / "table" / "commits" / "part.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        sinks.write_canonical(day(spark, 1, ["a"]), str(tmp_path / "table"))
 
 
 def test_quarantine(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "bad_data")], "i long, reason string")
-    sinks.write_quarantine(df, str(tmp_path / "ok"), str(tmp_path / "bad"))
-    assert [r.i for r in spark.read.parquet(str(tmp_path / "ok")).collect()] == [1]
-    assert [(r.i, r.reason) for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == [(2, "bad_data")]
+    path = str(tmp_path / "rows")
+    sinks.write_quarantine(df, path)
+    assert [r.i for r in sinks.accepted(spark, path).collect()] == [1]
+    assert [(r.i, r.reason) for r in sinks.refused(spark, path).collect()] == [(2, "bad_data")]
