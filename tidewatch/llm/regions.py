@@ -11,6 +11,7 @@ pivots of its own with windows of 2r, until cells are small enough to be joined
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ LOAD_BITS = 18
 #: Documents joined in one task; a region with more is split. Pivots a split tries. Cells of a dense block.
 CELL = 512
 PIVOTS = 16
+#: Sets of a region that are held against one another by their histograms.
+PRUNED = 4096
 DENSE = 1 << 22
 #: A cell that keeps more than this share of its region was not split by its pivots.
 SHRINK = 0.8
@@ -57,62 +60,85 @@ def shingle_set(words: list[bytes], size: int, hashes: dict[bytes, int]) -> np.n
     return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
-def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """id, n (shingles of the set), key (128 bits of the set; null if empty) and grams (its hashes, sorted)."""
-    rows = texts(docs, id_col, text_col)
+def _sets_in(batch: pa.RecordBatch, size: int, hashes: _Hashes) -> Iterator[np.ndarray]:
+    for value in batch.column("text"):
+        text = value.as_py()
+        yield shingle_set(text.encode().lower().split() if text else [], size, hashes)
+        if len(hashes) > 1 << 20:
+            hashes.clear()
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            sizes, keys, grams = [], [], []
-            for value in batch.column("text"):
-                text = value.as_py()
-                own = shingle_set(text.encode().lower().split() if text else [], size, hashes)
-                raw = own.tobytes()
-                sizes.append(len(own))
-                keys.append(xxhash.xxh3_128_digest(raw) if raw else None)
-                grams.append(raw)
-                if len(hashes) > 1 << 20:
-                    hashes.clear()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(grams, pa.binary())],
-                ["id", "n", "key", "grams"])
 
-    return rows.mapInArrow(of, f"id {rows.schema['id'].dataType.simpleString()}, n long, key binary, grams binary")
+def _key(own: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None
 
 
-def shingle_loads(sets: DataFrame) -> np.ndarray:
-    """How many shingles of all sets fall under each value of the leading hash bits; frequent ones stand out."""
+def histogram(own: np.ndarray) -> np.ndarray:
+    """Shingles under each value of the leading hash bits, 8 to 16 on average, 255 at most."""
+    bits = max(4, math.ceil(math.log2(max(1, len(own)) / 16)))
+    counts = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
+    """One row per document: id, mark (a hash of the text), n (shingles of its set), key (128 bits of the set;
+    null if empty), k (64 of them) and hist; and rows (bucket, load) that count shingles by their leading bits."""
+    rows = texts(docs, id_col, text_col).select("id", F.xxhash64("text").alias("mark"), "text")
+    kind = rows.schema["id"].dataType
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loads = np.zeros(1 << LOAD_BITS, np.int64)
+        hashes, loads, ids = _Hashes(), np.zeros(1 << LOAD_BITS, np.int64), None
+
+        def out(columns: list[pa.Array]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(columns, ["id", "mark", "n", "key", "k", "hist", "bucket", "load"])
+
         for batch in batches:
-            for value in batch.column("grams"):
-                own = np.frombuffer(value.as_buffer(), np.uint64)
+            sizes, keys, hists, ids = [], [], [], batch.column("id").type
+            for own in _sets_in(batch, size, hashes):
+                sizes.append(len(own))
+                keys.append(_key(own))
+                hists.append(histogram(own).tobytes())
                 np.add.at(loads, (own >> np.uint64(64 - LOAD_BITS)).astype(np.int64), 1)
+            none = pa.nulls(batch.num_rows, pa.int64())
+            heads = [None if key is None else int.from_bytes(key[:8], "little", signed=True) for key in keys]
+            yield out([batch.column("id"), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                       pa.array(heads, pa.int64()), pa.array(hists, pa.binary()), none, none])
         at = np.flatnonzero(loads)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(loads[at])], ["bucket", "load"])
+        if len(at):
+            null = [pa.nulls(len(at), t) for t in (ids, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary())]
+            yield out([*null, pa.array(at), pa.array(loads[at])])
 
-    found = sets.select("grams").mapInArrow(of, "bucket int, load long").groupBy("bucket").agg(F.sum("load").alias("load")).toArrow()
+    return rows.mapInArrow(of, f"id {kind.simpleString()}, mark long, n long, key binary, k long, hist binary, bucket long, load long")
+
+
+def shingle_loads(rows: DataFrame) -> np.ndarray:
+    """How many shingles of all sets fall under each value of the leading hash bits; frequent ones stand out."""
+    found = rows.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("load").alias("load")).toArrow()
     loads = np.zeros(1 << LOAD_BITS, np.int64)
     loads[found["bucket"].to_numpy()] = found["load"].to_numpy()
     return loads
 
 
-def rare_shingles(sets: DataFrame, loads: np.ndarray, percent: int) -> DataFrame:
-    """(t, k, key): the rarest shingles of each set, as many as it may miss of a linked one and one more.
+def rare_shingles(docs: DataFrame, loads: np.ndarray, percent: int, id_col: str = "doc_id", text_col: str = "text",
+                  size: int = 3) -> DataFrame:
+    """(t, k): the rarest shingles of each set, as many as it may miss of a linked one and one more.
 
-    Any order that is the same for all sets is exact; rare ones first keep regions small. Sets too small to
-    be linked with any but an equal one give none. k, the head of the key, ranks sets as pivots.
+    Any order that is the same for all sets is exact; rare ones first keep regions small. Linked sets differ
+    little in size (their distances to the empty set), so t is a shingle with a band of sizes, once for the
+    set's own band and once for the next. Sets too small to be linked with any but an equal one give none.
+    k, the head of a set's key, ranks sets as pivots.
     """
-    known = sets.sparkSession.sparkContext.broadcast(loads)
+    known = docs.sparkSession.sparkContext.broadcast(loads)
+    band = math.log(100 / percent) * (1 + 1e-6)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loads = known.value
+        loads, hashes = known.value, _Hashes()
         for batch in batches:
-            tokens, sizes = [], []
-            for value in batch.column("grams"):
-                own = np.frombuffer(value.as_buffer(), np.uint64)
+            tokens, keys = [], []
+            for own in _sets_in(batch, size, hashes):
+                if 100 * len(own) < percent * (len(own) + 1):
+                    continue
+                head = int.from_bytes(_key(own)[:8], "little", signed=True)
+                lowest = int(math.log(len(own)) / band)
                 take = len(own) + (-percent * len(own) // 100) + 1
                 load = loads[(own >> np.uint64(64 - LOAD_BITS)).astype(np.int64)]
                 if take < len(own):
@@ -120,24 +146,93 @@ def rare_shingles(sets: DataFrame, loads: np.ndarray, percent: int) -> DataFrame
                     border = np.partition(load, take - 1)[take - 1]
                     less = np.flatnonzero(load < border)
                     own = np.concatenate((own[less], own[np.flatnonzero(load == border)[: take - len(less)]]))
-                tokens.append(own)
-                sizes.append(len(own))
-            which = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
-            t = np.concatenate(tokens).view(np.int64) if tokens else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(t), batch.column("key").take(which)], ["t", "key"])
+                for step in (lowest, lowest + 1):
+                    turned = np.uint64(step * int(_MULTIPLIERS[0]) % 2**64)
+                    tokens.append((own ^ turned) * _MULTIPLIERS[1])
+                keys.append(np.full(2 * len(own), head, np.int64))
+            if tokens:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(keys))], ["t", "k"])
 
-    can_link = sets.where(F.col("key").isNotNull() & (F.col("n") * 100 >= percent * (F.col("n") + 1)))
-    rows = can_link.select("key", "grams").mapInArrow(of, "t long, key binary")
-    return rows.withColumn("k", F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("long"))
+    return texts(docs, id_col, text_col).select("text").mapInArrow(of, "t long, k long")
 
 
 def first_regions(tokens: DataFrame) -> DataFrame:
-    """(cell, key) once each: the sets in the region of each pivot; regions of one set are left out.
+    """(cell, k) once each: the sets in the region of each pivot; regions of one set are left out.
 
     Pivots are written first: while they are few, Spark sends them to the tokens instead of sorting both.
     """
     pivots = stored(tokens.groupBy("t").agg(F.min("k").alias("cell"), F.max("k").alias("last")).where("cell < last").select("t", "cell"))
-    return stored(tokens.join(pivots, "t").select("cell", "key").distinct())
+    return stored(tokens.join(pivots, "t").select("cell", "k").distinct())
+
+
+def _may_link(sizes: np.ndarray, hists: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of a cell may be linked with another one of it.
+
+    The counts of a histogram are a set's distances to the empty set within parts of all shingles, in the
+    metric of the symmetric difference; by the triangle inequality their differences add up to at most the
+    shingles that only one of two sets has. Sets are compared within the window of sizes, finer histograms
+    being added up to the coarser ones.
+    """
+    order = np.argsort(sizes, kind="stable")
+    sizes, hists = sizes[order], [hists[i] for i in order.tolist()]
+    ends = np.searchsorted(sizes, sizes * 100 // percent, "right")
+    widths = np.array([len(h) for h in hists])  # they grow with the sizes, twofold within a window at most
+    met = np.zeros(len(sizes), bool)
+    for width in np.unique(widths).tolist():
+        at, end = np.searchsorted(widths, width), np.searchsorted(widths, 2 * width, "right")
+        counts = np.stack([h.astype(np.int32).reshape(width, -1).sum(axis=1) for h in hists[at:end]])
+        for i in range(at, int(np.searchsorted(widths, width, "right"))):
+            others = np.arange(i + 1, ends[i])
+            others = others[~met[others]] if met[i] else others
+            if len(others):
+                apart = np.abs(counts[others - at] - counts[i - at]).sum(axis=1)
+                near = apart * (100 + percent) <= (100 - percent) * (sizes[i] + sizes[others])
+                met[others[near]] = True
+                met[i] |= bool(near.any())
+    back = np.empty(len(met), bool)
+    back[order] = met
+    return back
+
+
+def _streamed(rows: DataFrame, groups: list[str], solve, schema: str) -> DataFrame:
+    """`solve` of each group as a table; a task streams its groups one after another, sorted by key within."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            change = np.zeros(max(table.num_rows - 1, 0), bool)
+            for name in groups:
+                mark = table[name].to_numpy()
+                change |= mark[1:] != mark[:-1]
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), table.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                part = table.slice(a, b - a)
+                if held and any(held[0][name][0] != part[name][0] for name in groups):
+                    yield solve(pa.concat_tables(held))
+                    held = []
+                held.append(part)
+        if held:
+            yield solve(pa.concat_tables(held))
+
+    return rows.repartition(*groups).sortWithinPartitions(*groups, "key").mapInArrow(of, schema)
+
+
+def likely_members(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """(cell, key) of the sets that histograms do not rule out; regions of more than PRUNED sets are kept whole."""
+    sets = docs.select("k", "key", "n", "hist").dropDuplicates(["key"])
+    rows = members.join(sets, "k").select("cell", "key", "n", "hist")
+    counts = stored(members.groupBy("cell").count())
+    large = counts.where(F.col("count") > PRUNED).select("cell")
+
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        hists = [np.frombuffer(value.as_buffer(), np.uint8) for value in table["hist"]]
+        on = np.flatnonzero(_may_link(table["n"].to_numpy(), hists, percent))
+        return pa.RecordBatch.from_arrays([table[name].combine_chunks().take(pa.array(on)) for name in ("cell", "key")], ["cell", "key"])
+
+    small = _streamed(rows.join(large, "cell", "left_anti"), ["cell"], solve, "cell long, key binary")
+    return stored(small.unionByName(rows.join(large, "cell", "left_semi").select("cell", "key")))
 
 
 class Sets:
@@ -247,26 +342,7 @@ def _joined_cells(state: DataFrame, groups: list[str], percent: int) -> DataFram
         keys = table["key"].combine_chunks()
         return _edge_batch(keys, *cell_links(_sets_of(table), labels, home, percent))
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            marks = [rows[name].to_numpy() for name in groups]
-            change = np.zeros(max(rows.num_rows - 1, 0), bool)
-            for mark in marks:
-                change |= mark[1:] != mark[:-1]
-            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), rows.num_rows]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                part = rows.slice(a, b - a)
-                if held and any(held[0][name][0] != part[name][0] for name in groups):
-                    yield solve(pa.concat_tables(held))
-                    held = []
-                held.append(part)
-        if held:
-            yield solve(pa.concat_tables(held))
-
-    dealt = state.select(*dict.fromkeys([*groups, *_STATE])).repartition(*groups).sortWithinPartitions(*groups, "key")
-    return dealt.mapInArrow(of, _EDGES)
+    return _streamed(state.select(*dict.fromkeys([*groups, *_STATE])), groups, solve, _EDGES)
 
 
 def _split(state: DataFrame, counts: DataFrame, percent: int, cell: int) -> DataFrame:
@@ -331,16 +407,27 @@ def _tiles(state: DataFrame, counts: DataFrame, cell: int) -> DataFrame:
     return every.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
 
 
-def set_links(sets: DataFrame, percent: int = 90, cell: int = CELL) -> DataFrame:
+def set_links(docs: DataFrame, rows: DataFrame, percent: int = 90, cell: int = CELL, id_col: str = "doc_id",
+              text_col: str = "text", size: int = 3) -> DataFrame:
     """Edges (u, v) of keys that connect all distinct sets with 100 * shared >= percent * union.
 
-    `sets` are stored rows of `shingle_sets`. A star per group of linked sets is returned, not all pairs.
+    `rows` are the stored `sketches` of `docs`. Whole sets are made again for the texts that may be linked
+    alone. A star per group of linked sets is returned, not all pairs.
     """
-    loads = shingle_loads(sets)
-    tokens = rare_shingles(sets, loads, percent)
-    members = first_regions(tokens)
-    needed = members.select("key").distinct()
-    pool = stored(sets.select("key", "grams").join(needed, "key", "left_semi").dropDuplicates(["key"]))
+    known = rows.where("bucket IS NULL AND key IS NOT NULL")
+    tokens = rare_shingles(docs, shingle_loads(rows), percent, id_col, text_col, size)
+    members = likely_members(first_regions(tokens), known, percent)
+    needed = stored(known.join(members.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("mark").alias("mark")))
+    chosen = texts(docs, id_col, text_col).select("text").withColumn("mark", F.xxhash64("text")).join(needed.select("mark"), "mark", "left_semi")
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            own = list(_sets_in(batch, size, hashes))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(map(_key, own), pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())], ["key", "grams"])
+
+    pool = stored(chosen.select("text").mapInArrow(whole, "key binary, grams binary").dropDuplicates(["key"]))
     state = members.join(pool, "key").select("cell", "key", "grams", F.col("key").alias("label"), F.lit(True).alias("home"))
     edges: list[DataFrame] = []
     before: DataFrame | None = None
@@ -382,9 +469,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if no row of the component has an id. Repeated rows each give a row; other columns are ignored; no rows
     give no rows. Shingles count as equal when their 64-bit hashes are, sets when 128 bits of these are.
     """
-    sets = stored(shingle_sets(docs, id_col, text_col, size))
-    roots = components(set_links(sets, percent, cell)).select(F.col("node").alias("key"), "root")
-    rows = sets.select("id", "n", "key").join(roots, "key", "left").select("id", "n", F.coalesce("root", "key").alias("root"))
+    found = stored(sketches(docs, id_col, text_col, size))
+    roots = components(set_links(docs, found, percent, cell, id_col, text_col, size)).select(F.col("node").alias("key"), "root")
+    rows = found.where("bucket IS NULL").select("id", "n", "key").join(roots, "key", "left").select(
+        "id", "n", F.coalesce("root", "key").alias("root"))
     least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("component_id"))
     return rows.join(least, "root", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
