@@ -12,6 +12,7 @@ counted word by word. What tasks are sent is a filter of fixed size, whatever th
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -111,6 +112,15 @@ def _in(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (table[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
+def _sent(spark: SparkSession, tables: list[np.ndarray]):
+    """The filters as a broadcast; compressed, as most of their bits are 0 while phrases are few."""
+    return spark.sparkContext.broadcast([zlib.compress(table.tobytes(), 1) for table in tables])
+
+
+def _received(shared) -> list[np.ndarray]:
+    return [np.frombuffer(zlib.decompress(table), np.uint64) for table in shared.value]
+
+
 def _phrase_hashes(phrases: DataFrame) -> DataFrame:
     """(m, h): length and hash of each phrase (lang, words)."""
 
@@ -134,16 +144,16 @@ def coded_texts(docs: DataFrame, known: np.ndarray, salt: str, lang_col: str = "
     """(lang, codes): stretches of two and more frequent words as hashes, 0 between stretches."""
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    shared, tail = docs.sparkSession.sparkContext.broadcast(known), salt.encode()
+    shared, tail = _sent(docs.sparkSession, [known]), salt.encode()
 
     class Codes(dict):
-        def __init__(self, lang: str):
+        def __init__(self, lang: str, table: np.ndarray):
             super().__init__({_STOP: 0})
-            self.front = np.array([_lang_hash(lang)])
+            self.front, self.table = np.array([_lang_hash(lang)]), table
 
         def __missing__(self, word: bytes) -> int:
             h = np.array([xxhash.xxh64_intdigest(word + tail, 42)], np.uint64)
-            code = int(h[0]) if _in(shared.value, _mixed(self.front, h))[0] else 0
+            code = int(h[0]) if _in(self.table, _mixed(self.front, h))[0] else 0
             if len(self) < DISTINCT:
                 self[word] = code
             return code
@@ -156,6 +166,7 @@ def coded_texts(docs: DataFrame, known: np.ndarray, salt: str, lang_col: str = "
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[str, Codes] = {}
+        table = _received(shared)[0]
         held: dict[str, list[np.ndarray]] = {}
 
         def out(lang: str) -> pa.RecordBatch:
@@ -165,7 +176,7 @@ def coded_texts(docs: DataFrame, known: np.ndarray, salt: str, lang_col: str = "
         for batch in batches:
             for lang, value in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
                 words = pieces_of(value.as_py() or "")
-                own = codes.get(lang) or codes.setdefault(lang, Codes(lang))
+                own = codes.get(lang) or codes.setdefault(lang, Codes(lang, table))
                 found = stretches(np.fromiter(map(own.__getitem__, words), np.uint64, len(words)))
                 if len(found):
                     held.setdefault(lang, []).append(np.append(found, np.uint64(0)))
@@ -196,12 +207,13 @@ def _grown(lang: str, codes: np.ndarray, filters: list[np.ndarray], longest: int
 
 def _hash_counts(coded: DataFrame, filters: list[np.ndarray], m: int) -> DataFrame:
     """(h, c): how many places have each hash of m words, where the fronts pass the filters."""
-    shared = coded.sparkSession.sparkContext.broadcast(filters)
+    shared = _sent(coded.sparkSession, filters)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = _received(shared)
         for batch in batches:
             for lang, value in zip(batch.column("lang").to_pylist(), batch.column("codes"), strict=True):
-                *_, (size, _, hashes) = _grown(lang, np.frombuffer(value.as_buffer(), np.uint64), shared.value, m)
+                *_, (size, _, hashes) = _grown(lang, np.frombuffer(value.as_buffer(), np.uint64), filters, m)
                 if size == m:
                     h, c = np.unique(hashes, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["h", "c"])
@@ -231,13 +243,14 @@ def _exact_counts(coded: DataFrame, fronts: list[np.ndarray] | None, wanted: dic
     before (after) is the word that stands before (after) every one of them, null if they differ or if one
     is not preceded (followed) by a frequent word of its piece. With `fronts` a phrase's fronts must pass.
     """
-    shared = coded.sparkSession.sparkContext.broadcast((fronts, wanted))
+    lengths, leading = sorted(wanted), len(fronts or [])
+    shared = _sent(coded.sparkSession, [*(fronts or []), *(wanted[m] for m in lengths)])
     everything = np.full(1 << (FILTER_BITS - 6), ~np.uint64(0))
     longest = max(wanted, default=1)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fronts, wanted = shared.value
-        filters = [everything] * longest if fronts is None else fronts
+        tables = _received(shared)
+        filters, wanted = tables[:leading] or [everything] * longest, dict(zip(lengths, tables[leading:], strict=True))
         for batch in batches:
             for lang, value in zip(batch.column("lang").to_pylist(), batch.column("codes"), strict=True):
                 codes = np.frombuffer(value.as_buffer(), np.uint64)
