@@ -97,8 +97,12 @@ def fold(spark, sf, gap=GAP, hold=HOLD, hot_rows=shaping.HOT_ROWS):
 
 def canonical_events(spark, sf):
     """Canonical events of the given events table, with the user as the acting player."""
-    raw = spread(frame(spark, sf, RECORDS))
-    drafts = log_to_events(raw)
+    return canonical_of(spread(frame(spark, sf, RECORDS)))
+
+
+def canonical_of(records):
+    """Script records as canonical events, a table's or a stream's."""
+    drafts = log_to_events(records)
     return canonical_project(drafts.withColumn("actor", party(source=F.col("actor_ref"))), deep=False)
 
 
@@ -119,7 +123,10 @@ def _admitted(spark, sf):
 
 def _delivered(spark, sf):
     """Whole way from script records to what is delivered: admitted events, totals and reports."""
-    sent = shaping.deliverable(*shaped(spark, sf), WINDOW)
+    return delivered_view(shaping.deliverable(*shaped(spark, sf), WINDOW))
+
+
+def delivered_view(sent):
     report = F.col("category") == "security"
     return sent.select(
         "server_id", F.col("actor.source").cast("bigint").alias("source"), "category", "action", "severity",
@@ -138,18 +145,23 @@ _OVER = f"""over_limit AS (
   SELECT server_id, source, CAST(floor(epoch_us(admit_at) / {_WINDOW_US}) AS BIGINT) * {_WINDOW_US} AS began,
          count(*) - {LIMIT} AS dropped FROM numbered GROUP BY ALL HAVING count(*) > {LIMIT})"""
 _ENDED = sql_stamp(f"make_timestamp(began + {_WINDOW_US})")
-DELIVERED_SQL = f"""{folded_sql()}, {_OVER}
+def delivered_sql(until: str = "TIMESTAMP '9999-01-01'") -> str:
+    """What shaping sends up to a moment: admitted events, totals, and reports of windows that have ended."""
+    return f"""{folded_sql()}, {_OVER}
 SELECT server_id, source, category, action, NULL AS severity, NULL AS report_id, NULL AS reported_at,
        {sql_stamp("date_trunc('second', occurred_at)")} AS occurred_at, NULL AS report_context, NULL AS report_data,
        CAST(amount AS DECIMAL(18,2)) AS amount, repeats
-FROM numbered WHERE nth <= {LIMIT}
+FROM numbered WHERE nth <= {LIMIT} AND admit_at <= {until}
 UNION ALL
 SELECT server_id, source, 'security', 'rate_limit_triggered', 'warning',
        left(sha256(server_id || '|' || source || '|' || began || '|rate_limit_triggered'), 32), {_ENDED}, {_ENDED},
        '{{"resource":"tidewatch"}}',
        '{{"dropped":' || dropped || ',"reason":"' || (dropped + {LIMIT})
        || ' events in a minute; logging kept {LIMIT} and dropped the rest"}}', NULL, NULL
-FROM over_limit"""
+FROM over_limit WHERE make_timestamp(began + {_WINDOW_US}) <= {until}"""
+
+
+DELIVERED_SQL = delivered_sql()
 
 
 def _volume(spark, sf):

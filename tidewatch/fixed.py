@@ -41,6 +41,7 @@ MENU_PRANKS = ("drunkEffect", "setOnFire", "wildAttack")
 ACCOUNT_ACTIONS = {"money": "cash", "bank": "bank", "black_money": "dirty"}
 SALARY_REASONS = ("Paycheck", "Welfare Check")
 RESYNC_REASON = "Sync account with item"
+LIMIT_REASON = "%d events in a minute; logging kept %d and dropped the rest"
 
 ACCOUNT_ITEMS = ("money",)
 USE_WATCHLIST = ("lockpick", "armour", "bandage", "medikit")

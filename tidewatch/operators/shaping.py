@@ -187,19 +187,26 @@ def rate_limit_report(df: DataFrame, limit: int = fixed.PLAYER_LIMIT,
         F.lit("warning").alias("severity"),
         "actor",
         dropped.alias("dropped"),
-        F.format_string(
-            "%d events in a minute; logging kept %d and dropped the rest",
-            F.lit(limit) + dropped, F.lit(limit),
-        ).alias("reason"),
+        report_reason(dropped, limit).alias("reason"),
     )
 
 
+def report_reason(dropped: Column, limit: int) -> Column:
+    return F.format_string(fixed.LIMIT_REASON, F.lit(limit) + dropped, F.lit(limit))
+
+
 def report_events(report: DataFrame, window: float = fixed.LIMIT_SECONDS) -> DataFrame:
     """The reports of a ceiling over canonical events as canonical events themselves.
 
     A report arrives when its window ends. It has no place in the order of arrival; its id comes
     from server, player and window, so that a replay reports under the same id.
     """
+    columns = report_columns(window)
+    return report.select(*[columns[name].alias(name) for name in CANONICAL])
+
+
+def report_columns(window: float) -> dict[str, Column]:
+    """The canonical columns of a report by name, out of the columns of `rate_limit_report`."""
     ends = F.timestamp_micros(F.unix_micros("window_start") + round(window * MICROS))
     whose = F.concat_ws("|", F.col("source").cast("string"), F.unix_micros("window_start").cast("string"))
     made = {
@@ -210,9 +217,7 @@ def report_events(report: DataFrame, window: float = fixed.LIMIT_SECONDS) -> Dat
         "arrival_seq": F.lit(None).cast("bigint"), "target": F.lit(None).cast(PARTY),
     }
     given = ("server_id", "category", "action", "severity", "actor")
-    return report.select(*[
-        (F.col(name) if name in given else made.get(name, F.lit(None).cast("string"))).alias(name) for name in CANONICAL
-    ])
+    return {name: F.col(name) if name in given else made.get(name, F.lit(None).cast("string")) for name in CANONICAL}
 
 
 def deliverable(admitted: DataFrame, report: DataFrame, window: float = fixed.LIMIT_SECONDS) -> DataFrame:
@@ -296,6 +301,11 @@ def fold_events(events: DataFrame, gap: float = fixed.GAP_SECONDS,
         with_fold_columns(events), ["server_id", "fold_key"], gap, max_hold, flush_at=flush_at,
         hot_rows=hot_rows,
     )
+    return totals_into_data(folded)
+
+
+def totals_into_data(folded: DataFrame) -> DataFrame:
+    """Folded canonical events with the totals and repeats in `data`."""
     template = F.map_filter(F.col("data"), lambda key, _: ~key.isin(*SUMMED, "repeats", "repeatedUntil"))
     totals = {name: F.when(F.col(name).isNotNull(), number_json(F.col(name))) for name in SUMMED}
     rolled = F.map_concat(
