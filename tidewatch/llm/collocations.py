@@ -29,8 +29,8 @@ from tidewatch.llm.frames import stored
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: First words are opened in steps: up to this many times the count of the step before.
 STEP = 16
-#: Bits of a filter (2 MB), words of one row of the coded texts, distinct words a task counts before it hands them on.
-FILTER_BITS, CHUNK, DISTINCT = 24, 1 << 16, 1 << 19
+#: Bits of a filter (2 MB), words of one row of the coded texts, distinct words a task keeps before it starts anew.
+FILTER_BITS, CHUNK, DISTINCT = 24, 1 << 16, 1 << 18
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_BREAKS, b"\xff" * len(_BREAKS))
 _STOP = b"\xff"
@@ -146,18 +146,6 @@ def coded_texts(docs: DataFrame, known: np.ndarray, salt: str, lang_col: str = "
                        F.col(f"`{text_col}`").cast("string").alias("text"))
     shared, tail = _sent(docs.sparkSession, [known]), salt.encode()
 
-    class Codes(dict):
-        def __init__(self, lang: str, table: np.ndarray):
-            super().__init__({_STOP: 0})
-            self.front, self.table = np.array([_lang_hash(lang)]), table
-
-        def __missing__(self, word: bytes) -> int:
-            h = np.array([xxhash.xxh64_intdigest(word + tail, 42)], np.uint64)
-            code = int(h[0]) if _in(self.table, _mixed(self.front, h))[0] else 0
-            if len(self) < DISTINCT:
-                self[word] = code
-            return code
-
     def stretches(codes: np.ndarray) -> np.ndarray:
         full = codes != 0
         beside = np.concatenate(([False], full[:-1])) | np.concatenate((full[1:], [False]))
@@ -165,27 +153,32 @@ def coded_texts(docs: DataFrame, known: np.ndarray, salt: str, lang_col: str = "
         return kept[(kept != 0) | (np.concatenate(([0], kept[:-1])) != 0)]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes: dict[str, Codes] = {}
         table = _received(shared)[0]
-        held: dict[str, list[np.ndarray]] = {}
-
-        def out(lang: str) -> pa.RecordBatch:
-            whole = np.concatenate(held.pop(lang))
-            return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([whole.tobytes()], pa.binary())], ["lang", "codes"])
+        codes: dict[str, dict[bytes, int]] = {}
+        held: dict[str, list[bytes]] = {}
+
+        def out(lang: str) -> Iterator[pa.RecordBatch]:
+            words = held.pop(lang)
+            own = codes.setdefault(lang, {_STOP: 0})
+            fresh = list(set(words) - own.keys())
+            hashes = np.fromiter((xxhash.xxh64_intdigest(word + tail, 42) for word in fresh), np.uint64, len(fresh))
+            frequent = _in(table, _mixed(np.full(len(fresh), _lang_hash(lang)), hashes))
+            own.update(zip(fresh, np.where(frequent, hashes, np.uint64(0)).tolist(), strict=True))
+            found = stretches(np.fromiter(map(own.__getitem__, words), np.uint64, len(words)))
+            if sum(map(len, codes.values())) > DISTINCT:
+                codes.clear()
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([np.append(found, np.uint64(0)).tobytes()], pa.binary())], ["lang", "codes"])
 
         for batch in batches:
             for lang, value in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                words = pieces_of(value.as_py() or "")
-                own = codes.get(lang) or codes.setdefault(lang, Codes(lang, table))
-                found = stretches(np.fromiter(map(own.__getitem__, words), np.uint64, len(words)))
-                if len(found):
-                    held.setdefault(lang, []).append(np.append(found, np.uint64(0)))
-                    if sum(map(len, held[lang])) > CHUNK:
-                        yield out(lang)
-            if len(codes) > 64:
-                codes.clear()
+                words = held.setdefault(lang, [])
+                words += pieces_of(value.as_py() or "")
+                words.append(_STOP)
+                if len(words) > CHUNK or len(held) > 256:
+                    yield from out(lang)
         for lang in list(held):
-            yield out(lang)
+            yield from out(lang)
 
     return rows.mapInArrow(of, "lang string, codes binary")
 
