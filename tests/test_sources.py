@@ -1,11 +1,12 @@
 import hashlib
 import json
+import time
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.sources import raw, sinks, snapshots
+from tidewatch.sources import raw, sinks, snapshots, spools
 from tidewatch.sources.schemas import HOOKS, hook_schema
 
 
@@ -64,6 +65,47 @@ def test_snapshot_events_come_in_replay_order(spark, tmp_path):
     assert rows[2].event_bytes == 40 and rows[2].recovered
 
 
+def test_a_stream_of_spools_reads_each_file_once_and_again_when_written_anew(spark, tmp_path):
+    place, state = tmp_path / "spools", str(tmp_path / "state")
+    place.mkdir()
+    (place / "a.json").write_text(snapshot({"v": 1, "queued": [ITEM], "flight": FLIGHT}))
+    (place / "b.json").write_text(snapshot({"v": 1, "queued": []}, "0" * 64))
+    (place / "_hidden").write_text("x")
+
+    def run():
+        rows = snapshots.read_snapshots_stream(spark, str(place), settle_seconds=0)
+        query = rows.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", state)
+        query.trigger(processingTime="0 seconds")
+        running = query.start()
+        running.processAllAvailable()
+        running.stop()
+        out = spark.read.schema(rows.schema).parquet(str(tmp_path / "out")).collect()
+        return sorted((r.path.split("/")[-1], r.reason or r.part) for r in out)
+
+    first = [("a.json", "flight"), ("a.json", "flight"), ("a.json", "queued"), ("b.json", "checksum")]
+    assert run() == first
+    assert run() == first
+    time.sleep(0.01)
+    (place / "c.json").write_text(snapshot({"v": 1, "queued": [ITEM]}))
+    (place / "b.json").write_text(snapshot({"v": 1, "queued": [ITEM]}))
+    assert run() == sorted(first + [("b.json", "queued"), ("c.json", "queued")])
+
+
+def test_large_spools_are_not_loaded(spark, tmp_path):
+    (tmp_path / "large.json").write_text(snapshot({"v": 1, "queued": [ITEM] * 100}))
+    (tmp_path / "small.json").write_text(snapshot({"v": 1, "queued": [ITEM]}))
+    spools.register(spark)
+    rows = {r.path.split("/")[-1]: r for r in spark.read.format("spool").option("maxBytes", 1000).load(str(tmp_path)).collect()}
+    assert (rows["large.json"].reason, rows["large.json"].content) == ("too_large", None)
+    assert rows["small.json"].reason is None and rows["small.json"].length < 1000
+
+
+def test_tasks_hold_files_up_to_a_size(monkeypatch):
+    monkeypatch.setattr(spools, "TASK_BYTES", 100)
+    sizes = [[f[2] for f in task.files] for task in spools._dealt([(0, str(i), n) for i, n in enumerate((40, 50, 20, 300, 10))])]
+    assert sizes == [[40, 50], [20], [300], [10]]
+
+
 def test_writing_twice_stores_once(spark, tmp_path):
     at = datetime(2024, 1, 1)
     df = spark.createDataFrame([("s", "a", "money", at, 1), ("s", "a", "money", at, 2), ("s", "b", "staff", at, 3)],

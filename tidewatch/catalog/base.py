@@ -7,13 +7,14 @@ themselves are written twice, once with the operators and once as plain SQL, and
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.session import configure
+from tidewatch.session import configure, ensure_checkpoint_dir
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -55,6 +56,11 @@ def over(text: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkS
     return lambda spark, sf: build(spread(frame(spark, sf, text)))
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder every executor can reach, for queries that read files written from the given tables."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stamp(at: Column) -> Column:
     return F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.catalog.base import EVENTS, MOVES, Query, duck, frame, over, sql_weapon
+from tidewatch.catalog.base import EVENTS, MOVES, Query, duck, frame, over, shared_folder, spread, sql_weapon
 from tidewatch.catalog.collectors import (
     _IGNORED,
     CREATIONS,
@@ -19,7 +19,7 @@ from tidewatch.catalog.collectors import (
 )
 from tidewatch.functions import json_map
 from tidewatch.operators import exports, validate
-from tidewatch.sources import raw, snapshots
+from tidewatch.sources import raw, sinks, snapshots
 from tidewatch.sources.schemas import CORRUPT
 
 RECORDS = """
@@ -52,39 +52,80 @@ FROM ({EVENTS}) AS raw
 OVERSIZE = "SELECT CAST(doc_id % 4 AS STRING) AS server_id, doc_id AS arrival_seq, text AS encoded FROM $documents"
 
 
-# One spool per order: whole ones of two flights and a queued event, and eight ways of being broken.
+# One spool per server, of 45: those of five servers hold all their orders as queued events, some behind a flight
+# of two, the others are broken in one of eight ways.
+SPOOL_KINDS = 9
 SPOOLS = """
-SELECT o_orderkey AS id, CASE o_orderkey % 9
-  WHEN 0 THEN '{"v":1,"queued":[{"payload":{"id":' || CAST(o_custkey AS STRING) || '},"bytes":20}],"flight":{"body":"{\\\\"events\\\\":[{\\\\"id\\\\":1},{\\\\"id\\\\":2}]}","count":2},"dropped":3}'
-  WHEN 1 THEN '{"v":1,"queued":[{"payload":{"id":' || CAST(o_custkey AS STRING) || '},"bytes":20}]}'
+SELECT server, CASE server % 9
+  WHEN 0 THEN '{"v":1,"queued":[' || items || '],"flight":{"body":"{\\\\"events\\\\":[{\\\\"id\\\\":1},{\\\\"id\\\\":2}]}","count":2},"dropped":3}'
+  WHEN 1 THEN '{"v":1,"queued":[' || items || ']}'
   WHEN 2 THEN '{"v":1,"queued":[{"payload":{},"bytes":"bad"}]}' WHEN 3 THEN '{"v":1,"queued":[],"dropped":-1}'
   WHEN 4 THEN '{"v":2,"queued":[]}' WHEN 5 THEN '{"v":1,"queued":7}' WHEN 6 THEN 'not json'
-  WHEN 7 THEN '{"v":1,"queued":[],"flight":{"body":"{}","count":1}}' ELSE '{"v":1,"queued":[]}' END AS data,
-  o_orderkey % 9 = 8 AS tampered, o_custkey
-FROM $orders
+  WHEN 7 THEN '{"v":1,"queued":[],"flight":{"body":"{}","count":1}}' ELSE '{"v":1,"queued":[]}' END AS data
+FROM (SELECT o_orderkey % 45 AS server, array_join(transform(array_sort(collect_list(struct(o_orderkey, o_custkey))),
+        o -> '{"payload":{"id":' || o.o_custkey || '},"bytes":20}'), ',') AS items FROM $orders GROUP BY 1)
 """
 SPOOL_REASONS = {2: "item", 3: "dropped", 4: "version", 5: "queue", 6: "not_json", 7: "flight", 8: "checksum"}
 
 
-def _spools(df):
-    digest = F.sha2(F.when(F.col("tampered"), F.concat(F.col("data"), F.lit(" "))).otherwise(F.col("data")), 256)
-    files = df.select("id", F.to_json(F.struct("data", digest.alias("sha256"))).alias("value"))
-    parsed = snapshots.parse_snapshots(files)
-    bad = parsed.filter(F.col("reason").isNotNull()).select(
-        "id", "reason", F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("part"),
-        F.lit(None).cast("string").alias("payload"))
-    good = snapshots.recovered_events(parsed, "id").select(
-        "id", F.lit(None).cast("string").alias("reason"), "position", "part", "payload")
-    return good.unionByName(bad)
+def _spools(spark, sf):
+    """Spools written as files, one a server, and read back by the format of their own."""
+    rows = frame(spark, sf, SPOOLS)
+    tampered = F.col("server") % SPOOL_KINDS == 8
+    digest = F.sha2(F.when(tampered, F.concat(F.col("data"), F.lit(" "))).otherwise(F.col("data")), 256)
+    place = shared_folder(spark, "spools")
+    files = rows.select("server", F.to_json(F.struct("data", digest.alias("sha256"))).alias("value"))
+    files.repartition("server").write.partitionBy("server").text(place)
+    server = F.regexp_extract("path", "server=([0-9]+)", 1).cast("bigint").alias("server")
+    events, bad = snapshots.read_snapshots(spark, f"{place}/server=*/*.txt")
+    good = events.select(server, F.lit(None).cast("string").alias("reason"), "position", "part", "payload", "event_bytes")
+    nothing = {"position": "int", "part": "string", "payload": "string", "event_bytes": "bigint"}
+    return good.unionByName(bad.select(server, "reason", *[F.lit(None).cast(t).alias(n) for n, t in nothing.items()]))
+
+
+def _spools_sql() -> str:
+    reasons = " ".join(f"WHEN {kind} THEN '{reason}'" for kind, reason in SPOOL_REASONS.items())
+    flight = "(SELECT DISTINCT o_orderkey % 45 AS server FROM orders WHERE o_orderkey % 45 % 9 = 0)"
+    return f"""
+SELECT server, NULL AS reason, id - 1 AS position, 'flight' AS part, '{{"id":' || id || '}}' AS payload, NULL AS event_bytes
+FROM {flight} AS f, (SELECT unnest([1, 2]) AS id)
+UNION ALL
+SELECT o_orderkey % 45, NULL, row_number() OVER (PARTITION BY o_orderkey % 45 ORDER BY o_orderkey) - 1
+       + CASE WHEN o_orderkey % 45 % 9 = 0 THEN 2 ELSE 0 END, 'queued', '{{"id":' || o_custkey || '}}', 20
+FROM orders WHERE o_orderkey % 45 % 9 IN (0, 1)
+UNION ALL
+SELECT DISTINCT o_orderkey % 45, CASE o_orderkey % 45 % 9 {reasons} END, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 45 % 9 > 1
+"""
+
 
+def raw_files(spark, sf):
+    """Records as lines of files, every fiftieth broken off."""
+    place = shared_folder(spark, "raw")
+    spread(frame(spark, sf, LINES)).select("value").write.text(place)
+    return place
 
-def _parsed(df):
-    rows = raw.parse_raw(df, "account_money")
-    return rows.select(
+
+def read_back(records):
+    """Whole records by their columns, broken ones by their line."""
+    return records.select(
         "server_id", "arrival_seq", "event", "player_id", "account",
-        F.col("amount").cast("decimal(18,2)").alias("amount"), "reason",
-        F.col(CORRUPT).isNotNull().alias("corrupt"),
-    ).filter(~F.col("corrupt")).drop("corrupt")
+        F.col("amount").cast("decimal(18,2)").alias("amount"), "reason", F.col(CORRUPT).alias("line"))
+
+
+READ_BACK_SQL = duck(
+    "SELECT CASE WHEN spoilt <> 0 THEN server_id END AS server_id, CASE WHEN spoilt <> 0 THEN arrival_seq END AS arrival_seq, "
+    "CASE WHEN spoilt <> 0 THEN 'add' END AS event, CASE WHEN spoilt <> 0 THEN source END AS player_id, "
+    "CASE WHEN spoilt <> 0 THEN 'bank' END AS account, CASE WHEN spoilt <> 0 THEN amount END AS amount, "
+    f"CASE WHEN spoilt <> 0 THEN action END AS reason, CASE WHEN spoilt = 0 THEN value END AS line FROM ({LINES}) AS raw")
+
+
+def _quarantined(spark, sf):
+    """Records written by acceptance and read back from their folders."""
+    place = shared_folder(spark, "quarantine")
+    sinks.write_quarantine(validate.validate_event(spread(frame(spark, sf, RECORDS))), place)
+    kept = sinks.accepted(spark, place).withColumn("reason", F.lit("accepted"))
+    rows = kept.unionByName(sinks.refused(spark, place))
+    return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("records"), F.min("arrival_seq").alias("first_seq"))
 
 
 def _seqs(df):
@@ -106,27 +147,12 @@ def entries() -> dict[str, Query]:
     plain_from, plain_to = "trim(from_inventory, '\"')", "trim(to_inventory, '\"')"
     with_name = USES.replace("SELECT server_id,", "SELECT CASE part_key % 6 WHEN 0 THEN 'lockpick' WHEN 1 THEN 'bandage' "
                              "WHEN 2 THEN 'water' ELSE item END AS item_name, server_id,", 1)
-    quarantined = over(RECORDS, lambda df: validate.validate_event(df).groupBy(
-        F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(
-        F.count(F.lit(1)).alias("records"), F.min("arrival_seq").alias("first_seq")))
     return {
         "src_raw_events": Query(
-            over(LINES, _parsed),
-            duck("SELECT server_id, arrival_seq, 'add' AS event, source AS player_id, 'bank' AS account, amount, "
-                 f"action AS reason FROM ({LINES}) AS raw WHERE spoilt <> 0"),
-        ),
-        "src_snapshot_recovery": Query(
-            over(SPOOLS, _spools),
-            duck("SELECT id, CAST(NULL AS VARCHAR) AS reason, position, part, payload FROM ("
-                 "SELECT id, 0 AS position, 'flight' AS part, '{\"id\":1}' AS payload, o_custkey FROM (" + SPOOLS + ") AS a WHERE id % 9 = 0 "
-                 "UNION ALL SELECT id, 1, 'flight', '{\"id\":2}', o_custkey FROM (" + SPOOLS + ") AS b WHERE id % 9 = 0 "
-                 "UNION ALL SELECT id, CASE WHEN id % 9 = 0 THEN 2 ELSE 0 END, 'queued', '{\"id\":' || o_custkey || '}', o_custkey "
-                 "FROM (" + SPOOLS + ") AS c WHERE id % 9 IN (0, 1)) AS good "
-                 "UNION ALL SELECT id, CASE id % 9 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in SPOOL_REASONS.items())
-                 + " END, NULL, NULL, NULL FROM (" + SPOOLS + ") AS bad WHERE id % 9 > 1"),
-        ),
+            lambda spark, sf: read_back(raw.read_raw(spark, raw_files(spark, sf), "account_money")), READ_BACK_SQL),
+        "src_snapshot_recovery": Query(_spools, _spools_sql()),
         "sink_quarantine": Query(
-            quarantined,
+            _quarantined,
             duck(f"SELECT coalesce({_REASON_SQL}, 'accepted') AS reason, count(*) AS records, "
                  f"min(arrival_seq) AS first_seq FROM ({RECORDS}) AS raw GROUP BY 1"),
         ),

@@ -48,6 +48,7 @@ USE_WATCHLIST = ("lockpick", "armour", "bandage", "medikit")
 
 # Limits, in bytes or entries.
 MAX_EVENT_BYTES = 32768
+MAX_SPOOL_BYTES = 67108864
 MAX_STRING_BYTES = 2048
 MAX_TEXT_BYTES = 128
 MAX_KEYS = 64

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from tidewatch import fixed
 from tidewatch.functions.records import json_map
 from tidewatch.functions.text import json_scalar_text, let, lua_number
+from tidewatch.sources import spools
 
-# Files are capped at 64 MiB by the server that writes them, so one file is one row at most.
-MAX_SPOOL_BYTES = 64 * 1024 * 1024
 FILE = "data STRING, sha256 STRING"
 
 
@@ -99,9 +98,45 @@ def recovered_events(parsed: DataFrame, name: str = "path") -> DataFrame:
         name, "position", "_event.*", F.lit(True).alias("recovered"))
 
 
-def read_snapshots(spark: SparkSession, glob: str) -> tuple[DataFrame, DataFrame]:
+def snapshot_rows(files: DataFrame) -> DataFrame:
+    """Rows of the `spool` format, a table or a stream, as (path, reason, position, part, payload, event_bytes,
+    recovered, content): the events of good files in replay order, and each bad file whole, with its reason.
+    """
+    parsed = parse_snapshots(files, "content").withColumnRenamed("reason", "_rule")
+    # What the reader found comes first; a file it could not take whole has no content to judge.
+    parsed = parsed.withColumn("reason", F.coalesce("found", "_rule"))
+    none = F.lit(None).cast("bigint").alias("event_bytes")
+    flight = F.transform(
+        F.coalesce("_flight_events", F.array().cast("array<string>")),
+        lambda event: F.struct(F.lit("flight").alias("part"), event.alias("payload"), none),
+    )
+    queued = F.transform(
+        F.coalesce("_items", F.array().cast("array<map<string,string>>")),
+        lambda item: F.struct(F.lit("queued").alias("part"), F.element_at(item, "payload").alias("payload"),
+                              lua_number(F.element_at(item, "bytes")).cast("bigint").alias("event_bytes")),
+    )
+    bad = F.array(F.struct(F.lit(None).cast("string").alias("part"), F.lit(None).cast("string").alias("payload"), none))
+    good = F.col("reason").isNull()
+    rows = parsed.select("path", "reason", F.when(~good, F.col("content")).alias("content"), F.posexplode(
+        F.when(good, F.concat(flight, queued)).otherwise(bad)).alias("position", "_event"))
+    return rows.select(
+        "path", "reason", F.when(F.col("reason").isNull(), F.col("position")).alias("position"), "_event.*",
+        F.col("reason").isNull().alias("recovered"), "content")
+
+
+def read_snapshots(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(events to replay, quarantined files with their reason). A bad file is kept whole."""
-    files = spark.read.text(glob, wholetext=True).withColumn("path", F.col("_metadata.file_path"))
-    parsed = parse_snapshots(files)
-    bad = parsed.filter(F.col("reason").isNotNull()).select("path", "reason", F.col("value").alias("content"))
-    return recovered_events(parsed), bad
+    rows = snapshot_rows(_files(spark.read, spark, path))
+    events = rows.filter("recovered").drop("reason", "content")
+    return events, rows.filter("NOT recovered").select("path", "reason", "content")
+
+
+def read_snapshots_stream(spark: SparkSession, path: str, settle_seconds: float = 1) -> DataFrame:
+    """Files as they appear, or are written again, in the columns of `snapshot_rows`."""
+    reader = spark.readStream.option("settleSeconds", settle_seconds)
+    return snapshot_rows(_files(reader, spark, path))
+
+
+def _files(reader, spark: SparkSession, path: str) -> DataFrame:
+    spools.register(spark)
+    return reader.format(spools.FORMAT).load(path).withColumnRenamed("reason", "found")
