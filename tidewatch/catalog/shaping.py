@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.catalog.base import EVENTS, Query, duck, frame, spread, sql_stamp, stamp
+from tidewatch.catalog.base import EVENTS, Query, duck, frame, shared_folder, spread, sql_stamp, stamp
 from tidewatch.functions.records import canonical_json
 from tidewatch.functions.text import lua_number
 from tidewatch.operators import shaping
@@ -217,6 +217,16 @@ def _conserved(spark, sf):
     return offered.crossJoin(changed.agg(F.count(F.lit(1)).alias("changed_keys")))
 
 
+def _observed(spark, sf):
+    """Totals counted on both sides of folding while its rows are written."""
+    watch = shaping.Watch(["amount"])
+    folded = shaping.coalesce_repeats(_plain(spark, sf), KEYS, GAP, HOLD, ["amount"], watch=watch)
+    folded.write.parquet(shared_folder(spark, "folded"))
+    rows = [(name, str(before), str(after)) for name, (before, after) in watch.check().items()]
+    totals = spark.createDataFrame(rows, "metric string, before string, after string")
+    return totals.withColumns({side: F.col(side).cast("decimal(18,2)") for side in ("before", "after")})
+
+
 DAY_US = 86_400_000_000
 _DAYS = f"""
 WITH placed AS (
@@ -279,6 +289,11 @@ def entries() -> dict[str, Query]:
             _conserved,
             duck("SELECT count(*) AS events, CAST(sum(amount) AS DECIMAL(18,2)) AS amount, 0 AS changed_keys "
                  f"FROM ({EVENTS}) AS raw")),
+        "conservation_observed": Query(
+            _observed,
+            duck(f"SELECT metric, CAST(total AS DECIMAL(18,2)) AS before, CAST(total AS DECIMAL(18,2)) AS after FROM ("
+                 f"SELECT 'events' AS metric, CAST(count(*) AS DOUBLE) AS total FROM ({EVENTS}) AS a "
+                 f"UNION ALL SELECT 'amount', CAST(sum(amount) AS DOUBLE) FROM ({EVENTS}) AS b)")),
         "shape_and_deliver": Query(_delivered, duck(DELIVERED_SQL)),
         "shape_events": Query(
             _admitted,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
@@ -21,11 +21,50 @@ MICROS = 1_000_000
 FOLD_COLUMNS = ("repeats", "repeated_until", "is_rollup", "admit_at")
 
 
+class Watch:
+    """What goes into folding and what comes out, counted while the folded rows are written.
+
+    Pass it to `coalesce_repeats`, write the result, then ask `totals` or `check`. Nothing is read a second
+    time. After tasks were lost and run again the counts may be too high; `conservation_check` is the
+    judge then.
+    """
+
+    def __init__(self, sums: Sequence[str] = SUMMED):
+        self.sums, self._parts, self._after = list(sums), [], None
+
+    def _metrics(self, events: Column) -> list[Column]:
+        return [F.coalesce(F.sum(events), F.lit(0)).alias("events"),
+                *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in self.sums]]
+
+    def offered(self, rows: DataFrame) -> DataFrame:
+        """Every row must pass exactly one such place on its way into folding."""
+        self._parts.append(Observation())
+        return rows.observe(self._parts[-1], *self._metrics(F.lit(1).cast("bigint")))
+
+    def kept(self, rows: DataFrame) -> DataFrame:
+        self._after = Observation()
+        events = F.when(F.col("is_rollup"), F.col("repeats")).otherwise(F.lit(1).cast("bigint"))
+        return rows.observe(self._after, *self._metrics(events))
+
+    def totals(self) -> dict[str, tuple]:
+        """Metric to (before, after); waits for the write to end."""
+        before, after = [part.get for part in self._parts], self._after.get
+        return {name: (sum(part[name] for part in before), after[name]) for name in ("events", *self.sums)}
+
+    def check(self) -> dict[str, tuple]:
+        """The totals, or an error that names those which folding changed."""
+        totals = self.totals()
+        changed = {name: pair for name, pair in totals.items() if pair[0] != pair[1]}
+        if changed:
+            raise ValueError(f"folding changed totals: {changed}")
+        return totals
+
+
 def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_SECONDS,
                      max_hold: float = fixed.HOLD_SECONDS, sums: Sequence[str] = SUMMED,
                      at: str = "received_at", seq: str = "arrival_seq",
                      occurred_at: str = "occurred_at", flush_at: str | None = None,
-                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                     hot_rows: int | None = HOT_ROWS, watch: Watch | None = None) -> DataFrame:
     """Fold repeats of a key: the first row of a run passes, the rest become one total.
 
     A run is over `gap` seconds after its last row or `max_hold` after its first, whichever comes
@@ -33,18 +72,21 @@ def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_
     a new event id and no transaction id. New columns: `repeats`, `repeated_until`, `is_rollup`
     and `admit_at`, the moment the row reaches whatever is next. Rows are read in (at, seq) order.
     NULL keys fold like others. A row without an arrival time passes as it is, with no `admit_at`.
+    `watch` counts what goes in and comes out.
     """
     columns = df.columns
+    offered = watch.offered if watch else lambda rows: rows
+    kept = watch.kept if watch else lambda rows: rows
     if gap <= 0:
-        return df.withColumns({
+        return kept(offered(df).withColumns({
             "repeats": F.lit(None).cast("bigint"),
             "repeated_until": F.lit(None).cast(df.schema[occurred_at].dataType),
             "is_rollup": F.lit(False), "admit_at": F.col(at),
-        })
+        }))
 
     gap_us, hold_us = round(gap * MICROS), round(max_hold * MICROS)
     timed = df.withColumn("_t", F.unix_micros(F.col(at)))
-    timeless = timed.filter(F.col("_t").isNull()).select(*columns)
+    timeless = offered(timed.filter(F.col("_t").isNull()).select(*columns))
     timed = timed.filter(F.col("_t").isNotNull())
     rows = arrange(timed, keys, ["_t", seq], hot_rows).previous(F.col("_t"), "_before")
     fresh = F.col("_before").isNull() | (F.col("_t") - F.col("_before") >= gap_us)
@@ -53,7 +95,8 @@ def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_
     # Until max_hold after the quiet before it, a row belongs to the island's first run. Only rows
     # beyond that need the chain of holds, in which each start depends on the one before.
     within = F.col("_t") - F.col("_island") < hold_us
-    near = rows.df.filter(within).withColumns({START: F.col("_island"), OPENS: fresh})
+    near = offered(rows.df.filter(within)).withColumns({START: F.col("_island"), OPENS: fresh})
+    # Observed behind the chain, which may read its rows more than once.
     far = mark_chain(rows.df.filter(~within), [*keys, "_island"], ["_t", seq], meter="_t",
                      step=hold_us, sliced=rows.sliced, hot_rows=hot_rows)
 
@@ -61,7 +104,7 @@ def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_
         return F.when(~F.col(OPENS), value)
 
     order = repeat(F.struct("_t", seq))
-    runs = near.unionByName(far).groupBy(*keys, START).agg(
+    runs = near.unionByName(offered(far)).groupBy(*keys, START).agg(
         F.first(F.when(F.col(OPENS), F.struct(*columns)), ignorenulls=True).alias("_row"),
         F.count(repeat(F.lit(1))).alias("_repeats"),
         F.max("_t").alias("_last"),
@@ -108,9 +151,9 @@ def coalesce_repeats(df: DataFrame, keys: Sequence[str], gap: float = fixed.GAP_
     passed = {
         "repeats": F.lit(None), "repeated_until": F.lit(None), "is_rollup": F.lit(False), "admit_at": F.lit(None),
     }
-    return folded_rows.unionByName(timeless.select(
+    return kept(folded_rows.unionByName(timeless.select(
         *[passed.get(name, F.col(name)).cast(kind).alias(name) for name, kind in kinds.items()]
-    ))
+    )))
 
 
 def _ceiling(df: DataFrame, window: float, origin: float, source: str, order: Sequence[Column]) -> DataFrame:
