@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.frames import stored
+from tidewatch.llm.frames import small_batches, stored
 
 #: Words of a phrase at most, its least count, phrases reported for each language.
 LONGEST, LEAST, TOP = 5, 100, 2000
@@ -310,28 +310,29 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     descending, then by phrase (bytes). A null text has no words; a null language is `und`; repeated rows all
     count; other columns are ignored; no rows, or no phrase frequent enough, give no rows.
     """
-    words, salt = _coded_words(stored(word_counts(docs, lang_col, text_col)))
-    sizes = stored(words.groupBy("lang").agg(F.sum("f").alias("n")))
-    words = stored(words.where(F.col("f") >= least).select("lang", "h", "word", "f"))
-    singles = words.select("lang", F.array("h").alias("words"), F.col("f").alias("a"))
-    coded = stored(coded_texts(docs, _bits(_phrase_hashes(singles)), salt, lang_col, text_col))
-    open_langs, found, extra = sizes, [], []
-    low, high = 0, least * STEP
-    while True:
-        band = words.join(open_langs.select("lang"), "lang", "left_semi").where(F.col("f").between(low + 1, high))
-        phrases = _opened(coded.join(open_langs.select("lang"), "lang", "left_semi"), band, least, longest)
-        if phrases is not None:
-            found.append(phrases)
-            known = reduce(DataFrame.union, [x.select(*_KEY, "a") for x in [*found, *extra]])
-            missing = stored(_suffixes(phrases).join(known, _KEY, "left_anti"))
-            extra += _counted(coded, missing)
-        state = _settle(found, extra, singles, sizes, open_langs, words, high, top, longest)
-        if state is not None:
-            open_langs = state
-        if state is None or open_langs.isEmpty():
-            break
-        low, high = high, high * STEP
-    return _ranked(found, extra, singles, sizes, words, top, longest)
+    with small_batches(docs.sparkSession):
+        words, salt = _coded_words(stored(word_counts(docs, lang_col, text_col)))
+        sizes = stored(words.groupBy("lang").agg(F.sum("f").alias("n")))
+        words = stored(words.where(F.col("f") >= least).select("lang", "h", "word", "f"))
+        singles = words.select("lang", F.array("h").alias("words"), F.col("f").alias("a"))
+        coded = stored(coded_texts(docs, _bits(_phrase_hashes(singles)), salt, lang_col, text_col))
+        open_langs, found, extra = sizes, [], []
+        low, high = 0, least * STEP
+        while True:
+            band = words.join(open_langs.select("lang"), "lang", "left_semi").where(F.col("f").between(low + 1, high))
+            phrases = _opened(coded.join(open_langs.select("lang"), "lang", "left_semi"), band, least, longest)
+            if phrases is not None:
+                found.append(phrases)
+                known = reduce(DataFrame.union, [x.select(*_KEY, "a") for x in [*found, *extra]])
+                missing = stored(_suffixes(phrases).join(known, _KEY, "left_anti"))
+                extra += _counted(coded, missing)
+            state = _settle(found, extra, singles, sizes, open_langs, words, high, top, longest)
+            if state is not None:
+                open_langs = state
+            if state is None or open_langs.isEmpty():
+                break
+            low, high = high, high * STEP
+        return _ranked(found, extra, singles, sizes, words, top, longest)
 
 
 def _opened(coded: DataFrame, band: DataFrame, least: int, longest: int) -> DataFrame | None:

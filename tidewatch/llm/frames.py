@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,22 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> Iterator[None]:
+    """Batches of at most so many bytes go to Python for what runs inside: rows that are long texts or arrays
+    otherwise come ten thousand at a time, whatever their length."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def name_key(column: Column) -> Column:
     """Text that is equal for equal ids and for null ids, which plain equality never is."""
     return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
