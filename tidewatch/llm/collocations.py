@@ -30,7 +30,7 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 #: First words are opened in steps: up to this many times the count of the step before.
 STEP = 16
 #: Bits of a filter (2 MB), words of one row of the coded texts, distinct words a task keeps before it starts anew.
-FILTER_BITS, CHUNK, DISTINCT = 24, 1 << 16, 1 << 18
+FILTER_BITS, CHUNK, DISTINCT = 24, 1 << 13, 1 << 17
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_BREAKS, b"\xff" * len(_BREAKS))
 _STOP = b"\xff"
@@ -183,6 +183,14 @@ def coded_texts(docs: DataFrame, known: np.ndarray, salt: str, lang_col: str = "
     return rows.mapInArrow(of, "lang string, codes binary")
 
 
+def _codes_in(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    """The coded texts of a batch, those of one language one after another; each row ends with 0."""
+    langs = batch.column("lang").to_pylist()
+    arrays = [np.frombuffer(value.as_buffer(), np.uint64) for value in batch.column("codes")]
+    for lang in dict.fromkeys(langs):
+        yield lang, np.concatenate([own for own, other in zip(arrays, langs, strict=True) if other == lang])
+
+
 def _grown(lang: str, codes: np.ndarray, filters: list[np.ndarray], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For m = 1, 2, ... the places and hashes of phrases of m words whose fronts all pass their filters."""
     at = np.flatnonzero(codes)
@@ -205,8 +213,8 @@ def _hash_counts(coded: DataFrame, filters: list[np.ndarray], m: int) -> DataFra
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = _received(shared)
         for batch in batches:
-            for lang, value in zip(batch.column("lang").to_pylist(), batch.column("codes"), strict=True):
-                *_, (size, _, hashes) = _grown(lang, np.frombuffer(value.as_buffer(), np.uint64), filters, m)
+            for lang, codes in _codes_in(batch):
+                *_, (size, _, hashes) = _grown(lang, codes, filters, m)
                 if size == m:
                     h, c = np.unique(hashes, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["h", "c"])
@@ -245,8 +253,7 @@ def _exact_counts(coded: DataFrame, fronts: list[np.ndarray] | None, wanted: dic
         tables = _received(shared)
         filters, wanted = tables[:leading] or [everything] * longest, dict(zip(lengths, tables[leading:], strict=True))
         for batch in batches:
-            for lang, value in zip(batch.column("lang").to_pylist(), batch.column("codes"), strict=True):
-                codes = np.frombuffer(value.as_buffer(), np.uint64)
+            for lang, codes in _codes_in(batch):
                 padded = np.concatenate((np.zeros(1, np.uint64), codes, np.zeros(1, np.uint64)))
                 for m, at, hashes in _grown(lang, codes, filters, longest):
                     if m not in wanted:
