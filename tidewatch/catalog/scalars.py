@@ -124,6 +124,31 @@ def _bounded(df):
     )
 
 
+# Eight equal levels of objects within one another: a text, some numbers, and the level below under the last key.
+# Of the sixth, at depth 5, the members are at depth 6 and all dropped.
+NESTED = "SELECT doc_id AS id, md5(text) AS digest, CAST(n_chars % 80 AS INT) AS extra FROM $documents WHERE text IS NOT NULL"
+
+
+def _nested(df):
+    numbers = F.array_join(F.transform(F.sequence(F.lit(1), F.col("extra") + 1), lambda i: F.concat(
+        F.lit(',"k'), F.lpad(i.cast("string"), 3, "0"), F.lit('":'), i.cast("string"))), "")
+    level = F.concat(F.lit('{"z":'), F.lit("#"), F.lit(',"a":"'), F.repeat("digest", 70), F.lit('"'), numbers, F.lit("}"))
+    whole = F.lit("[null,7]")
+    for _ in range(8):
+        whole = F.replace(level, F.lit("#"), whole)
+    return df.select("id", F.md5(fn.bounded_copy(whole)).alias("bounded"))
+
+
+NESTED_SQL = f"""
+WITH l AS (
+  SELECT id, extra, '"a":"' || left(repeat(digest, 70), 2048) || '"'
+         || list_aggregate(list_transform(range(1, least(63, extra + 1) + 1), lambda i: ',"k' || lpad(CAST(i AS VARCHAR), 3, '0') || '":' || i),
+                           'string_agg', '') AS own FROM ({NESTED}) AS nested)
+SELECT id, md5(CASE WHEN extra + 1 >= 63 THEN '{{' || own || '}}'
+  ELSE repeat('{{' || own || ',"z":', 5) || '{{}}' || repeat('}}', 5) END) AS bounded FROM l
+"""
+
+
 CANON = f"""
 SELECT *, '{{"action":"' || upper(action) || '!","category":"' || category || '"'
        || CASE WHEN channel IS NULL THEN '' ELSE ',"channel":"' || channel || '"' END
@@ -201,6 +226,7 @@ def entries() -> dict[str, Query]:
                  "range(1, least(63, extra + 1) + 1), lambda i: ',k' || lpad(CAST(i AS VARCHAR), 3, '0')), "
                  f"'string_agg', '') AS names, md5({sql_short('text', 2048)}) AS body FROM ({BOUNDED}) AS bounded"),
         ),
+        "bounded_copy_nested": Query(over(NESTED, _nested), duck(NESTED_SQL)),
         "fields_to_data": Query(over(FIELD_ROWS, _fields), duck(FIELDS_SQL)),
         "parse_money_text": Query(
             over(MONEY, lambda df: df.select("origin", "id", fn.parse_money_text(F.col("label")).alias("m"))

@@ -6,10 +6,8 @@ stay distinct while single keys are cheap to read, add and drop.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,61 +90,51 @@ def bounded_map(values: Column, max_keys: int = fixed.MAX_KEYS) -> Column:
     return F.transform_values(F.map_from_entries(kept), lambda _, value: _bounded_value(value))
 
 
-def _cut_utf8(text: str, limit: int) -> str:
-    raw = text.encode("utf-8", "surrogatepass")
-    return text if len(raw) <= limit else raw[:limit].decode("utf-8", "ignore")
-
-
-def _bound(value, max_keys: int, depth: int):
-    if depth >= fixed.MAX_DEPTH or value is None:
-        return None
-    if isinstance(value, str):
-        return _cut_utf8(value, fixed.MAX_STRING_BYTES)
-    if isinstance(value, dict):
-        items = sorted(value.items())
-    elif isinstance(value, list):
-        items = enumerate(value)
-    else:
-        return value
-    kept: list = []
-    for key, inner in items:
-        if len(kept) >= max_keys:
-            break
-        bounded = _bound(inner, max_keys, depth + 1)
-        if bounded is not None:
-            kept.append((key, bounded))
-    return dict(kept) if isinstance(value, dict) else [inner for _, inner in kept]
+def _bounded_variant(value: Column, max_keys: int, depth: int) -> Column:
+    """JSON text of a variant at a depth, NULL if it is dropped. One expression a level, for objects and
+    arrays alike: both become entries, an array's without a key."""
+    if depth >= fixed.MAX_DEPTH:
+        return F.lit(None).cast("string")
 
+    def entries(members: Column, items: Column) -> Column:
+        of_object = F.transform(F.array_sort(F.map_keys(members)), lambda key: F.struct(
+            key.alias("key"), F.element_at(members, key).alias("value")))
+        of_array = F.transform(items, lambda item: F.struct(F.lit(None).cast("string").alias("key"), item.alias("value")))
+        return F.coalesce(of_object, of_array)
 
-def bounded_copy(text: Column, max_keys: int = fixed.MAX_KEYS, depth: int = 0) -> Column:
-    """JSON bounded by depth, entries per level and string bytes, keys sorted at every level.
+    def bounded(members: Column, items: Column) -> Column:
+        texts = F.transform(entries(members, items), lambda entry: let(
+            _bounded_variant(entry["value"], max_keys, depth + 1),
+            lambda text: F.when(entry["key"].isNotNull(), F.concat(text_json(entry["key"]), F.lit(":"), text)).otherwise(text)))
+        # Dropped values are no text and do not count among those kept.
+        kept = F.array_join(F.slice(F.filter(texts, lambda text: text.isNotNull()), 1, max_keys), ",")
+        # Bound once: named in two branches, each level would double the expression.
+        return let(kept, lambda inner: F.when(members.isNotNull(), F.concat(F.lit("{"), inner, F.lit("}"))).when(
+            items.isNotNull(), F.concat(F.lit("["), inner, F.lit("]"))).otherwise(scalar()))
 
-    Depth has no native form, so this is an Arrow-batched UDF; NULL rows cost nothing in it.
-    """
+    def scalar() -> Column:
+        text = F.when(F.to_json(value).startswith('"'), F.try_variant_get(value, "$", "string"))
+        return F.when(text.isNotNull(), text_json(cut_bytes(text, fixed.MAX_STRING_BYTES))).when(
+            ~F.is_variant_null(value), F.to_json(value))
 
-    @F.pandas_udf("string")
-    def bound(values: pd.Series) -> pd.Series:
-        def one(raw):
-            if raw is None:
-                return None
-            try:
-                bounded = _bound(json.loads(raw), max_keys, depth)
-            except ValueError:
-                return None
-            if bounded is None:
-                return None
-            return json.dumps(bounded, separators=(",", ":"), ensure_ascii=False, sort_keys=True)
+    return let(F.try_variant_get(value, "$", "map<string,variant>"), lambda members: let(
+        F.try_variant_get(value, "$", "array<variant>"), lambda items: bounded(members, items)))
 
-        return values.map(one)
 
-    return bound(text)
+def bounded_copy(text: Column, max_keys: int = fixed.MAX_KEYS, depth: int = 0) -> Column:
+    """JSON bounded by depth, entries per level and string bytes, keys sorted at every level.
+
+    The levels are few and fixed, so they are written out as one expression over variants. Text that is no
+    JSON is NULL.
+    """
+    return let(F.try_parse_json(text), lambda value: _bounded_variant(value, max_keys, depth))
 
 
 def bound_maps(df: DataFrame, names: Sequence[str], max_keys: int = fixed.MAX_KEYS,
                deep: bool = True) -> DataFrame:
     """`df` with the named maps bounded, at every depth if `deep`.
 
-    Only maps holding a nested value are handed to the UDF; the rest stay in the JVM.
+    Only maps holding a nested value are taken apart; of the rest the values are cut as they are.
     """
     if not deep:
         return df.withColumns({name: bounded_map(F.col(name), max_keys) for name in names})

@@ -14,7 +14,7 @@ from tidewatch.functions.records import (
     object_text,
 )
 from tidewatch.functions.text import normalise_action, normalise_severity, short_text, text_json, utc_text
-from tidewatch.operators.identity import PARTY, PARTY_TEXT, resolve_party
+from tidewatch.operators.identity import PARTY, PARTY_TEXT, Reference, resolve_parties
 from tidewatch.plans.ordered import HOT_ROWS
 
 CANONICAL = ("server_id", "arrival_seq", "received_at", "event_id", "occurred_at", "channel",
@@ -28,10 +28,9 @@ def resolve_identities(drafts: DataFrame, sessions: DataFrame, characters: DataF
                        hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Drafts with `actor` and `target` parties as of their arrival."""
     leaving = F.coalesce(F.col("action") == "disconnect", F.lit(False))
-    known = resolve_party(drafts, "actor_ref", "actor_lookup", "actor", sessions, characters,
-                          inventories, closing=leaving, hot_rows=hot_rows)
-    return resolve_party(known, "target_ref", "target_lookup", "target", sessions, characters,
-                         inventories, net_id="target_net_id", hot_rows=hot_rows)
+    references = [Reference("actor_ref", "actor_lookup", "actor"),
+                  Reference("target_ref", "target_lookup", "target", "target_net_id")]
+    return resolve_parties(drafts, references, sessions, characters, inventories, closing=leaving, hot_rows=hot_rows)
 
 
 def canonical_project(drafts: DataFrame, deep: bool = True) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from tidewatch import fixed
 from tidewatch.functions.records import json_map
 from tidewatch.functions.text import NUMBER, json_scalar_text, lua_number, short_text
 from tidewatch.plans.asof import State, as_of, spread_nulls
+from tidewatch.plans.keys import join_on
 from tidewatch.plans.ordered import HOT_ROWS, arrange
 
 PARTY_TEXT = ("name", "character_id", "identifier", "license", "license2", "discord", "steam",
@@ -142,44 +146,93 @@ def owner_fallback(events: DataFrame, inventories: DataFrame, inventory_id: str,
     ).drop("_owner_key", "_owner_server", "_owner_id", "_owner_found")
 
 
+@dataclass(frozen=True)
+class Reference:
+    """A JSON reference in column `ref`, read by the rules of column `lookup` ('party' or 'player'), that
+    becomes the party `name`; `net_id` is a column with a server id that goes first."""
+
+    ref: str
+    lookup: str
+    name: str
+    net_id: str | None = None
+
+
 def resolve_party(events: DataFrame, ref: str, lookup: str, name: str, sessions: DataFrame,
                   characters: DataFrame, inventories: DataFrame | None = None,
                   net_id: str | None = None, at: str = "received_at", seq: str = "arrival_seq",
                   closing: Column | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add party `name` behind the JSON reference `ref`: a server id, an identifier, a name or an
-    explicit identity, read by the rules of `lookup` ('party' or 'player').
+    explicit identity, read by the rules of `lookup` ('party' or 'player')."""
+    return resolve_parties(events, [Reference(ref, lookup, name, net_id)], sessions, characters, inventories, at, closing, hot_rows)
 
-    One as-of pass finds who plays a named character, one finds session and character of every
-    server id; references that need neither ride along in groups of their own.
+
+def resolve_parties(events: DataFrame, references: Sequence[Reference], sessions: DataFrame, characters: DataFrame,
+                    inventories: DataFrame | None = None, at: str = "received_at", closing: Column | None = None,
+                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Add the parties behind several references of each event in one pass over them all.
+
+    A party depends on the reference, the server and the moment alone. So the distinct combinations of
+    these are resolved, as narrow rows with the references below one another, and joined back to the
+    events, which are moved once. Events with the same references at the same moment are resolved once.
     """
-    columns = events.columns
-    is_object = F.col(ref).startswith("{")
-    rows = events.withColumns({
-        "_text": F.when(~is_object, json_scalar_text(F.col(ref))),
-        "_members": json_map(F.when(is_object, F.col(ref))),
-        "_preferred": lua_number(F.col(net_id)) if net_id else F.lit(None).cast(NUMBER),
+    given = [name for one in references for name in (one.ref, one.lookup, one.net_id) if name]
+    inputs = list(dict.fromkeys(["server_id", at, *given]))
+    marked = events.withColumn("_closing", F.lit(False) if closing is None else F.coalesce(closing, F.lit(False)))
+    keys = [*inputs, "_closing"]
+    asked = marked.select(*keys).distinct()
+    each = asked.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_which"), F.col(one.ref).cast("string").alias("_ref"), F.col(one.lookup).alias("_lookup"),
+                 (F.col(one.net_id).cast("string") if one.net_id else F.lit(None).cast("string")).alias("_net"))
+        for i, one in enumerate(references)])).alias("_one")).select(*keys, "_one.*")
+    # Nothing to look up: no party.
+    each = each.filter(F.col("_ref").isNotNull() | F.col("_net").isNotNull())
+    found = _resolved(each, sessions, characters, inventories, at, hot_rows)
+    answers = found.groupBy(*keys).agg(*[
+        F.first(F.when(F.col("_which") == i, F.col("_party")), ignorenulls=True).alias(one.name)
+        for i, one in enumerate(references)])
+    names = [one.name for one in references]
+    kept = [c for c in events.columns if c not in names]
+    return join_on(marked.select(*kept, "_closing"), answers, keys, "left").select(*kept, *names)
+
+
+def _resolved(rows: DataFrame, sessions: DataFrame, characters: DataFrame, inventories: DataFrame | None, at: str,
+              hot_rows: int | None) -> DataFrame:
+    """Rows with `_party` behind `_ref`, `_lookup` and `_net`.
+
+    One as-of pass finds who plays a named character, over the rows that name one; another finds session
+    and character of every server id; references that need neither ride along in groups of their own.
+    """
+    columns = rows.columns
+    is_object = F.col("_ref").startswith("{")
+    rows = rows.withColumns({
+        "_text": F.when(~is_object, json_scalar_text(F.col("_ref"))),
+        "_members": json_map(F.when(is_object, F.col("_ref"))),
+        "_preferred": lua_number(F.col("_net")),
+        "_tie": F.xxhash64("_ref", "_which", at),
     })
     rows = rows.withColumns({
         "_number": lua_number(F.col("_text")),
         "_given": lua_number(json_scalar_text(F.element_at("_members", "source"))),
     })
-    by_player = F.col(lookup) == "player"
-    coded = F.col("_number").isNull() & ~by_player & F.col("_text").contains(":")
+    by_player = F.col("_lookup") == "player"
+    coded = F.coalesce(F.col("_number").isNull() & ~by_player & F.col("_text").contains(":"), F.lit(False))
     rows = rows.withColumn("_coded", F.when(coded, F.col("_text")))
-    rows = source_by_identifier(rows, characters, "_coded", at, seq, "_played", hot_rows)
+    named_rows = source_by_identifier(rows.filter(coded), characters, "_coded", at, "_tie", "_played", hot_rows)
+    other_rows = rows.filter(~coded).withColumn("_played", F.lit(None).cast(named_rows.schema["_played"].dataType))
+    rows = named_rows.unionByName(other_rows)
 
     source = F.coalesce("_preferred", "_number", "_given", F.col("_played").cast("bigint"))
     rows = rows.withColumn("_source", F.when(source > 0, source.cast("int")))
     states = [_session_state(sessions, "_session"), _character_state(characters, "_character")]
-    rows = as_of(rows, ["server_id", "_source"], at, seq, states, hot_rows)
-    rows = rows.withColumn("_session", _open_at(F.col("_session"), F.col(at), closing))
+    rows = as_of(rows, ["server_id", "_source"], at, "_tie", states, hot_rows)
+    rows = rows.withColumn("_session", _open_at(F.col("_session"), F.col(at), F.col("_closing")))
     rows = rows.withColumn(
         "_online", player_party(F.col("_source"), F.col("_session"), F.col("_character"))
     )
     offline = F.col("_online").isNull()
     if inventories is not None:
         rows = rows.withColumn("_inventory", F.when(by_player & offline, F.col("_text")))
-        rows = owner_fallback(rows, inventories, "_inventory", seq, "_owner")
+        rows = owner_fallback(rows, inventories, "_inventory", "_tie", "_owner")
     else:
         named = F.when(F.col("_number").isNull(), F.nullif(F.col("_text"), F.lit("")))
         rows = rows.withColumn("_owner", named)
@@ -200,7 +253,7 @@ def resolve_party(events: DataFrame, ref: str, lookup: str, name: str, sessions:
         .otherwise("character")
     )
     rows = rows.withColumns({"_kind": kind, "_fields": _explicit_fields(), "_short": short_text(F.col("_text"))})
-    return rows.select(*columns, _party_of_kind().alias(name))
+    return rows.select(*columns, _party_of_kind().alias("_party"))
 
 
 def _explicit_fields() -> Column:
