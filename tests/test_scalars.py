@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch import functions as fn
+from tidewatch.operators import shaping
 from tidewatch.functions.text import json_scalar_text, lua_number
 
 
@@ -98,3 +99,21 @@ def test_sql_functions(spark):
     row = spark.sql("SELECT tw_normalise_action('New Car!') a, tw_normalise_severity('ERROR') s, "
                     "tw_money_number('**$1,250**') m, tw_plate_of('trunk-AB1') p, tw_short_text('日本語', 4) t").first()
     assert (row.a, row.s, row.m, row.p, row.t) == ("new_car", "warning", 1250, "AB1", "日")
+
+
+def test_sql_functions_equal_the_column_functions(spark):
+    fn.register_sql_functions(spark)
+    texts = ["", "New Car!", "__x__", "ERROR", "WARNING", "warn", "Danger\n", "İNFO", "Kill", "1", " 7 ", "1e3", "-0x10", "0xFFFFFFFFFFFFFFFF",
+             "1e30", "12345678901234567890123", "0.0000001", "**$1,250**", "$1,250\n", ",", "0123", "trunk-AB1", "trunkAB1\n", "glove-", "日本語" * 9,
+             "WEAPON_X", "Ammo-9", "weapon", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("at", F.lit("2024-01-02 03:04:05.6").cast("timestamp"))
+    pairs = {
+        "tw_normalise_action(t)": fn.normalise_action(F.col("t")), "tw_normalise_severity(t)": fn.normalise_severity(F.col("t")),
+        "tw_number(t)": fn.lua_number(F.col("t")), "tw_money_number(t)": fn.parse_money_text(F.col("t"))["number"],
+        "tw_plate_of(t)": fn.plate_of(F.col("t")), "tw_short_text(t, 7)": fn.short_text(F.col("t"), 7),
+        "tw_weapon_flag(t)": fn.weapon_flag(F.col("t")), "tw_utc_text(at)": fn.utc_text(F.col("at")),
+        "tw_volume_label(nullif(t, ''), 'money', 'paid')": shaping.volume_label(F.nullif(F.col("t"), F.lit("")), F.lit("money"), F.lit("paid")),
+    }
+    for sql, column in pairs.items():
+        rows = df.select("t", F.expr(sql).alias("a"), column.alias("b")).collect()
+        assert [(r.t, r.a) for r in rows] == [(r.t, r.b) for r in rows], sql
