@@ -430,16 +430,27 @@ def all_frames(spark, sf) -> dict[str, DataFrame]:
 SWITCHES = {"opens": False}
 
 
+# A digest that needs no order: the sum over a kind's rows of 60 bits of a hash of all that the row shows.
+_TEXTS = ("arrival_seq", *SHOWN, "context", "data")
+
+
 def _all(spark, sf):
+    """Every collector's rows, context and data included, as one digest a kind of event."""
     drafts = exports.all_collectors(all_frames(spark, sf), SWITCHES)
-    return drafts.groupBy("kind", "category", "action", "severity").agg(F.count(F.lit(1)).alias("events"))
+    rows = drafts.select(
+        "kind", "arrival_seq", *SHOWN, canonical_json(F.col("context")).alias("context"), canonical_json(F.col("data")).alias("data"))
+    whole = F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in _TEXTS])
+    part = F.conv(F.substring(F.md5(whole), 1, 15), 16, 10).cast("decimal(20,0)")
+    return rows.groupBy("kind", "category", "action", "severity").agg(
+        F.count(F.lit(1)).alias("events"), F.sum(part).cast("string").alias("digest"))
 
 
 def _kinds(parts: dict[str, str]) -> str:
     union = " UNION ALL ".join(
-        f"SELECT '{kind}' AS kind, category, action, severity FROM ({text}) AS t{i}"
-        for i, (kind, text) in enumerate(parts.items()))
-    return f"SELECT kind, category, action, severity, count(*) AS events FROM ({union}) AS u GROUP BY ALL"
+        f"SELECT '{kind}' AS kind, {', '.join(_TEXTS)} FROM ({text}) AS t{i}" for i, (kind, text) in enumerate(parts.items()))
+    whole = ", ".join(f"coalesce(CAST({name} AS VARCHAR), '~')" for name in _TEXTS)
+    return (f"SELECT kind, category, action, severity, count(*) AS events, CAST(sum(CAST(CAST('0x' || left(md5(concat_ws('|', {whole})), 15) "
+            f"AS BIGINT) AS HUGEINT)) AS VARCHAR) AS digest FROM ({union}) AS u GROUP BY kind, category, action, severity")
 
 
 GROUPS_SQL = expected(
