@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import identity
+from tidewatch.operators.canonical import party_json
 
 T0 = datetime(2024, 1, 1)
 
@@ -88,3 +89,12 @@ def test_leaving_event_still_belongs_to_the_player(spark, world):
     df = spark.createDataFrame([("s", 6, at(10), 9)], "server_id string, source int, received_at timestamp, arrival_seq long")
     assert identity.attach_session(df, world[0]).first().session is None
     assert identity.attach_session(df, world[0], closing=F.lit(True)).first().session.name == "Account 6"
+
+
+def test_an_explicit_identity_keeps_all_its_members(spark, world):
+    rows = [("s", 1, at(5), '{"name":"Ada","rank":3,"notes":{"a":[1]}}'), ("s", 2, at(5), '{"badge":"7"}'), ("s", 3, at(5), "{}")]
+    df = spark.createDataFrame(rows, "server_id string, arrival_seq long, received_at timestamp, ref string").withColumn("lookup", F.lit("party"))
+    found = identity.resolve_party(df, "ref", "lookup", "p", *world)
+    got = {r.arrival_seq: (r.p, r.j) for r in found.withColumn("j", party_json(F.col("p"))).collect()}
+    assert (got[1][0].name, got[1][0].extra) == ("Ada", '{"notes":{"a":[1]},"rank":3}')
+    assert got[1][1] == '{"name":"Ada","notes":{"a":[1]},"rank":3}' and got[2][1] == '{"badge":"7"}' and got[3] == (None, None)

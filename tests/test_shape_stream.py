@@ -10,7 +10,7 @@ from test_streamed_identity import streamed
 from tidewatch.catalog.streams import drain
 from tidewatch.operators import shaping
 from tidewatch.operators.canonical import CANONICAL
-from tidewatch.operators.identity import PARTY
+from tidewatch.operators.identity import PARTY, party
 from tidewatch.streaming import coalesce_repeats_stream, rate_limit_stream, shape_stream
 
 START = datetime(2024, 1, 1)
@@ -32,8 +32,7 @@ def raw_rows(seed):
 def canonical(rows):
     made = {
         "event_id": F.concat(F.lit("e"), F.col("arrival_seq")), "category": F.lit("money"), "severity": F.lit("info"),
-        "actor": F.struct(F.col("source"), *[F.lit(None).cast("string").alias(n) for n in (
-            "name", "character_id", "identifier", "license", "license2", "discord", "steam", "fivem", "job", "group")]).cast(PARTY),
+        "actor": party(source=F.col("source")),
         "target": F.lit(None).cast(PARTY), "context": F.create_map(F.lit("zone"), F.lit('"1"')),
         "data": F.create_map(F.lit("amount"), F.col("amount").cast("string")),
     }

@@ -13,8 +13,8 @@ from tidewatch.functions.records import (
     json_object,
     object_text,
 )
-from tidewatch.functions.text import normalise_action, normalise_severity, short_text, text_json, utc_text
-from tidewatch.operators.identity import PARTY, PARTY_TEXT, Reference, resolve_parties
+from tidewatch.functions.text import let, normalise_action, normalise_severity, short_text, text_json, utc_text
+from tidewatch.operators.identity import EXPLICIT_KEYS, PARTY, PARTY_TEXT, Reference, resolve_parties
 from tidewatch.plans.ordered import HOT_ROWS
 
 CANONICAL = ("server_id", "arrival_seq", "received_at", "event_id", "occurred_at", "channel",
@@ -69,10 +69,16 @@ def canonical_project(drafts: DataFrame, deep: bool = True) -> DataFrame:
 
 
 def party_json(value: Column) -> Column:
-    names = {"character_id": "characterId"}
+    """The party as it would be sent; what an explicit identity had beside the known fields comes last."""
     members = {"source": value["source"].cast("string")}
-    members.update({names.get(n, n): text_json(value[n]) for n in PARTY_TEXT})
-    return F.when(value.isNotNull(), object_text(**members))
+    members.update({EXPLICIT_KEYS.get(n, n): text_json(value[n]) for n in PARTY_TEXT})
+
+    def with_extra(known: Column) -> Column:
+        joint = F.when(known == "{}", F.lit("")).otherwise(F.concat(F.substring(known, F.lit(1), F.length(known) - 1), F.lit(",")))
+        inner = F.substring(value["extra"], F.lit(2), F.length(value["extra"]))
+        return F.when(value["extra"].isNull(), known).otherwise(F.concat(F.when(known == "{}", F.lit("{")).otherwise(joint), inner))
+
+    return F.when(value.isNotNull(), let(object_text(**members), with_extra))
 
 
 def event_json(**columns: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import fixed
-from tidewatch.functions.records import json_map
+from tidewatch.functions.records import canonical_json, json_map
 from tidewatch.functions.text import NUMBER, json_scalar_text, lua_number, short_text
 from tidewatch.plans.asof import State, as_of, spread_nulls
 from tidewatch.plans.keys import join_on
@@ -17,14 +17,15 @@ from tidewatch.plans.ordered import HOT_ROWS, arrange
 
 PARTY_TEXT = ("name", "character_id", "identifier", "license", "license2", "discord", "steam",
               "fivem", "job", "group")
-PARTY = "struct<source:int," + ",".join(f"{name}:string" for name in PARTY_TEXT) + ">"
+# What an explicit identity has beside these, as the text of a JSON object, is its `extra`.
+PARTY = "struct<source:int," + ",".join(f"{name}:string" for name in (*PARTY_TEXT, "extra")) + ">"
 
 
 def party(**fields: Column) -> Column:
     """Party struct; fields not given are NULL."""
     return F.struct(
         fields.get("source", F.lit(None)).cast("int").alias("source"),
-        *[fields.get(name, F.lit(None)).cast("string").alias(name) for name in PARTY_TEXT],
+        *[fields.get(name, F.lit(None)).cast("string").alias(name) for name in (*PARTY_TEXT, "extra")],
     )
 
 
@@ -252,13 +253,23 @@ def _resolved(rows: DataFrame, sessions: DataFrame, characters: DataFrame, inven
         .when(F.col("_text").startswith("license:"), "license")
         .otherwise("character")
     )
-    rows = rows.withColumns({"_kind": kind, "_fields": _explicit_fields(), "_short": short_text(F.col("_text"))})
+    rows = rows.withColumns({"_kind": kind, "_fields": _explicit_fields(), "_extra": _explicit_extra(), "_short": short_text(F.col("_text"))})
     return rows.select(*columns, _party_of_kind().alias("_party"))
 
 
+#: Fields of an explicit identity that go by another name there.
+EXPLICIT_KEYS = {"character_id": "characterId"}
+
+
+def _explicit_extra() -> Column:
+    """Members of an explicit identity that are no field of a party, as JSON; NULL if there are none."""
+    known = ["source", *[EXPLICIT_KEYS.get(name, name) for name in PARTY_TEXT]]
+    return F.nullif(canonical_json(F.map_filter("_members", lambda key, _: ~key.isin(*known))), F.lit("{}"))
+
+
 def _explicit_fields() -> Column:
     """Texts of an explicit party in field order: its own, else those of the player it names."""
-    keys = {"character_id": "characterId"}
+    keys = EXPLICIT_KEYS
     texts = F.array(*[
         F.coalesce(
             json_scalar_text(F.element_at("_members", keys.get(name, name))),
@@ -282,6 +293,7 @@ def _party_of_kind() -> Column:
         elif name in ("identifier", "character_id"):
             value = value.when(kind == "owner", F.col("_owner")).when(kind == "character", F.col("_short"))
         fields[name] = value
-    bare = F.col("_given").isNull() & F.forall("_fields", lambda text: text.isNull())
+    fields["extra"] = F.when(kind == "explicit", F.col("_extra"))
+    bare = F.col("_given").isNull() & F.forall("_fields", lambda text: text.isNull()) & F.col("_extra").isNull()
     absent = kind.isNull() | ((kind == "explicit") & bare)
     return F.when(~absent, party(**fields))
