@@ -3,9 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.plans import chains
-from tidewatch.plans.ordered import arrange
+from tidewatch.plans.ordered import SLICE, arrange
 
 
 def walked(rows, step, room):
@@ -64,3 +65,22 @@ def test_no_group_holds_more_rows_than_a_slice(spark, monkeypatch):
     levels = [frame for frame in sizes if "_low" in frame.columns]
     assert max(frame.groupBy("_span").count().agg({"count": "max"}).first()[0] for frame in levels) <= 60
     assert levels[-1].count() <= 60
+
+
+def test_short_slices_ask_for_no_more_tasks_than_the_cluster_has(spark, monkeypatch):
+    monkeypatch.setattr("tidewatch.plans.ordered._surely_small", lambda *_: False)
+    rows = spark.range(6000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE 'k' || id % 3 END AS k", "id DIV 2 AS t", "id AS seq")
+    placed = arrange(rows, ["k"], ["t", "seq"], hot_rows=10)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    files = [name for name in placed.df.filter(f"{SLICE} > 0").inputFiles() if "/ordered-" in name]
+    by_folder = {}
+    for name in files:
+        by_folder.setdefault(name.rsplit("/", 1)[0], []).append(name)
+    assert max(map(len, by_folder.values())) <= tasks
+    slices = placed.df.groupBy("k", SLICE).agg(F.count("seq").alias("n"), F.min("seq").alias("low"), F.max("seq").alias("high")).collect()
+    assert max(row.n for row in slices) <= 10 and sum(row.n for row in slices) == 6000 and len(slices) >= 600
+    for key in {row.k for row in slices}:
+        own = sorted((row[SLICE], row.low, row.high) for row in slices if row.k == key)
+        assert all(a[2] < b[1] for a, b in zip(own, own[1:]))
+    counted = placed.running_sum(F.lit(1), "n").df.groupBy("k").agg(F.max("n").alias("n"))
+    assert sorted(row.n for row in counted.collect()) == [2000, 2000, 2000]
