@@ -1,3 +1,4 @@
+import json
 from decimal import Decimal
 
 import pytest
@@ -117,3 +118,22 @@ def test_sql_functions_equal_the_column_functions(spark):
     for sql, column in pairs.items():
         rows = df.select("t", F.expr(sql).alias("a"), column.alias("b")).collect()
         assert [(r.t, r.a) for r in rows] == [(r.t, r.b) for r in rows], sql
+
+
+def test_json_of_texts_and_objects_stays_in_compiled_code(spark):
+    from tidewatch.catalog import entries
+    from tidewatch.functions.records import json_object
+    from tidewatch.functions.text import text_json
+
+    texts = ["", "plain", 'a "b" \\ c', "tab\t", "\x01", "\x7f", "é\u2028😀", "\ufffd", "[x]", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    found = dict(rows.select("id", text_json(F.col("t"))).collect())
+    assert found == {i: None if t is None else json.dumps(t, ensure_ascii=False) for i, t in enumerate(texts)}
+    made = json_object(a=F.when(F.col("id") > 1, F.lit("1")), b=F.lit(None), c=text_json(F.col("t")))
+    maps = dict(rows.select("id", made).collect())
+    assert maps[0] == {"c": '""'} and maps[9] == {"a": "1"} and list(maps[2]) == ["a", "c"]
+    broken = spark.sql("SELECT CAST(X'61FF62' AS STRING) AS t").select(text_json(F.col("t"))).first()[0]
+    assert broken == '"a\ufffdb"'
+    plan = entries()["moves_to_events"].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_filter(map(" not in plan
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
