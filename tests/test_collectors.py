@@ -167,3 +167,13 @@ def test_switched_off_collectors_never_enter_the_plan(spark):
     groups = raw(spark, "set_group", player_id=1, group="admin")
     frames = {"groups": players.groups_to_events(groups), "loads": players.characters_to_events(raw(spark, "player_loaded", player_id=1))}
     assert [r.kind for r in exports.all_collectors(frames, {"loads": False}).collect()] == ["group"]
+
+
+def test_payloads_are_parsed_once_to_be_checked_and_taken(spark):
+    rows = spark.sql("""SELECT 's' AS server_id, id AS arrival_seq, TIMESTAMP '2024-01-01' AS received_at, 'r' AS invoking_resource,
+        CASE id WHEN 0 THEN '{"action":"a","category":"money","data":{"n":1}}' WHEN 1 THEN '{"action":"a"}' WHEN 2 THEN 'x'
+        WHEN 3 THEN '{}' WHEN 4 THEN NULL ELSE '{"action":"b","category":"money"}' END AS payload FROM range(7)""")
+    drafts = exports.log_to_events(rows)
+    assert sorted((row.arrival_seq, row.action) for row in drafts.collect()) == [(0, "a"), (5, "b"), (6, "b")]
+    plan = drafts._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line.split("(")[0] and "parsejson" in line.lower().replace("_", "")], plan
