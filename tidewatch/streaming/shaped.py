@@ -3,13 +3,12 @@
 Both steps let rows wait until the watermark has passed them and then take them in order, so rows may
 arrive out of order within its delay. Folding hands on `admit_at` as the event time of what it emits, and
 the ceiling waits by that. State holds the rows of the watermark's delay, one open run per key, and one
-window per player. A key's rows of one step are arrays; the loops run over runs and windows, not rows.
+window per player, for groups of keys (`held`). A group's rows of one step are arrays.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from decimal import Decimal
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,34 +21,26 @@ from tidewatch import fixed
 from tidewatch.functions.records import SUMMED
 from tidewatch.operators.canonical import CANONICAL
 from tidewatch.operators.shaping import MICROS, report_columns, report_reason, totals_into_data, with_fold_columns
+from tidewatch.streaming.held import GROUPS, Held, fold, group_of, key_text, numbers
 
 TEXT_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-#: Rows without a player are dealt to so many keys of a server; nothing is kept for them.
-FREE_KEYS = 64
 
 
 class _InOrder(StatefulProcessor):
-    """Rows that wait for the watermark; `taken` gets those it has passed, in order."""
+    """Rows that wait for the watermark; `taken` gets those of a group that it has passed."""
 
     WAITING: str
-    ORDER: list[str]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.WAITING)
-        self.names = [part.split(" ")[0] for part in self.WAITING.split(", ")]
-
-    def _tuples(self, frame: pd.DataFrame) -> list[tuple]:
-        """Rows for the state: whole numbers as such, though pandas makes them fractions beside a gap."""
-        whole = [part.split(" ")[1] in ("bigint", "int") for part in self.WAITING.split(", ")]
-        columns = [frame.iloc[:, i].astype("Int64" if is_whole else object).astype(object) for i, is_whole in enumerate(whole)]
-        return list(zip(*[column.where(column.notna(), None) for column in columns]))
+        self.waiting = Held(handle, "waiting", self.WAITING)
+        self.names = list(self.waiting.kinds)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         least = None
         for frame in rows:
             if len(frame):
-                self.waiting.appendList(self._tuples(frame[[f"x_{name}" for name in self.names]]))
+                self.waiting.append(frame[[f"x_{name}" for name in self.names]].set_axis(self.names, axis=1))
                 first = int(frame["x_at"].min())
                 least = first if least is None else min(least, first)
         if least is not None:
@@ -58,21 +49,17 @@ class _InOrder(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = pd.DataFrame(list(self.waiting.get()), columns=self.names)
-        ready = rows["at"] <= passed
+        rows = self.waiting.get()
+        ready = numbers(rows["at"]) <= passed
         rest = rows[~ready]
         if ready.any():
-            if len(rest):
-                self.waiting.put(self._tuples(rest))
-            else:
-                self.waiting.clear()
-        out = self.taken(key, rows[ready].sort_values(self.ORDER, kind="stable", ignore_index=True), passed)
-        due = self.due()
+            self.waiting.put(rest)
+        out, due = self.taken(rows[ready], passed)
         pending = [int(rest["at"].min())] if len(rest) else []
         if due is not None or pending:
             self._wake(min([*pending, *([due] if due is not None else [])]), timerValues)
-        if out:
-            yield pd.DataFrame(out)
+        if len(out):
+            yield out
 
     def _wake(self, at: int, timerValues) -> None:
         """Be called once the watermark has reached a moment; rounded up, as timers count milliseconds.
@@ -84,164 +71,102 @@ class _InOrder(StatefulProcessor):
         if not ahead or due < min(ahead):
             self.handle.registerTimer(due)
 
-    def taken(self, key, rows: pd.DataFrame, passed: int) -> list[dict]:
-        raise NotImplementedError
-
-    def due(self) -> int | None:
+    def taken(self, rows: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, int | None]:
+        """What leaves, and when the group must be woken next."""
         raise NotImplementedError
 
     def close(self) -> None:
         pass
 
 
-def _added(values: Sequence[str | None], start: str | None = None) -> str | None:
-    """Exact sum of decimal texts as text; None if there is none."""
-    known = [Decimal(v) for v in (start, *values) if v is not None]
-    return str(sum(known)) if known else None
-
-
 class _Fold(_InOrder):
     """One open run per key."""
 
-    ORDER = ["at", "seq"]
-
-    def __init__(self, keys: list[str], sums: list[str], gap: int, hold: int):
-        self.keys, self.sums, self.gap, self.hold = keys, sums, gap, hold
+    def __init__(self, sums: list[str], gap: int, hold: int):
+        self.sums, self.gap, self.hold = sums, gap, hold
         self.values = [f"v{i}" for i in range(len(sums))]
-        self.WAITING = ", ".join(["at bigint", "seq bigint", "occurred bigint", "row string", *[f"{v} string" for v in self.values]])
+        self.WAITING = ", ".join(["key string", "at bigint", "seq bigint", "occurred bigint", "row string", *[f"{v} string" for v in self.values]])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        fields = ["row string", "repeats bigint", "opened bigint", "last bigint", "since bigint", "until bigint"]
-        self.fields = [f.split(" ")[0] for f in fields] + self.values
-        self.run = handle.getValueState("run", ", ".join([*fields, *[f"{v} string" for v in self.values]]))
-
-    def _load(self) -> dict | None:
-        return dict(zip(self.fields, self.run.get())) if self.run.exists() else None
-
-    def _ends(self, run: dict) -> int:
-        return min(run["last"] + self.gap, run["opened"] + self.hold)
-
-    def due(self) -> int | None:
-        run = self._load()
-        return None if run is None else self._ends(run)
-
-    def _out(self, key, row, admit, run=None) -> dict:
-        out = dict(zip(self.keys, key), _row=row, is_rollup=run is not None, admit_at=pd.Timestamp(admit, unit="us"),
-                   repeats=None, _from=None, _until=None, **{f"_sum_{name}": None for name in self.sums})
-        if run is not None:
-            out.update(repeats=run["repeats"], _from=run["since"], _until=run["until"],
-                       **{f"_sum_{name}": run[v] for name, v in zip(self.sums, self.values)})
-        return out
-
-    def _joined(self, run: dict, rows: pd.DataFrame) -> None:
-        """The rows as further repeats of the run."""
-        if len(rows):
-            occurred = [None if pd.isna(x) else int(x) for x in (rows["occurred"].iloc[0], rows["occurred"].iloc[-1])]
-            if run["repeats"] == 0:
-                run["since"] = occurred[0]
-            run.update(repeats=run["repeats"] + len(rows), last=int(rows["at"].iloc[-1]), until=occurred[1],
-                       **{v: _added(rows[v].tolist(), run[v]) for v in self.values})
-
-    def taken(self, key, rows: pd.DataFrame, passed: int) -> list[dict]:
-        run, out = self._load(), []
-        at = rows["at"].to_numpy(dtype=np.int64)
-        before = np.concatenate(([run["last"] if run else -(2**62)], at))[:-1] if len(at) else at
-        quiet = np.flatnonzero(at - before >= self.gap)
-        start = 0
-        while start < len(at) or run:
-            if run:
-                # As many rows as come before a pause and within the hold of the open run.
-                pause = quiet[np.searchsorted(quiet, start)] if len(quiet) and quiet[-1] >= start else len(at)
-                end = max(start, min(int(pause), int(np.searchsorted(at, run["opened"] + self.hold, side="left"))))
-                self._joined(run, rows.iloc[start:end])
-                start = end
-                if start == len(at) and self._ends(run) > passed:
-                    break
-                if run["repeats"]:
-                    out.append(self._out(key, run["row"], self._ends(run), run))
-                run = None
-                continue
-            first = rows.iloc[start]
-            out.append(self._out(key, first["row"], int(at[start])))
-            run = dict.fromkeys(self.fields)
-            run.update(row=first["row"], repeats=0, opened=int(at[start]), last=int(at[start]))
-            quiet = quiet[quiet > start]
-            start += 1
-        if run:
-            self.run.update(tuple(run[name] for name in self.fields))
-        else:
-            self.run.clear()
-        return out
+        fields = ["key string", "row string", "repeats bigint", "opened bigint", "last bigint", "since bigint", "until bigint"]
+        self.runs = Held(handle, "runs", ", ".join([*fields, *[f"{v} string" for v in self.values]]))
+
+    def taken(self, rows: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, int | None]:
+        runs = self.runs.get()
+        firsts, totals, still = fold(runs, rows, self.values, self.gap, self.hold, passed)
+        self.runs.put(still)
+        nothing = dict.fromkeys(["repeats", "_from", "_until", *[f"_sum_{name}" for name in self.sums]])
+        out = [pd.DataFrame({"_row": firsts["row"], "is_rollup": False, "admit_at": pd.to_datetime(firsts["opened"], unit="us"), **nothing}, dtype=None),
+               pd.DataFrame({"_row": totals["row"], "is_rollup": True, "admit_at": pd.to_datetime(totals["ends"], unit="us"),
+                             "repeats": totals["repeats"], "_from": totals["since"], "_until": totals["until"],
+                             **{f"_sum_{name}": totals[v] for name, v in zip(self.sums, self.values)}})]
+        return _stacked(out), int(still["ends"].min()) if len(still) else None
+
+
+def _stacked(frames: list[pd.DataFrame]) -> pd.DataFrame:
+    """One frame of those that have rows; a column that only some fill stays one of objects."""
+    frames = [frame.astype({name: object for name in frame.columns if name != "admit_at"}) for frame in frames if len(frame)]
+    return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
 
 
 class _Ceiling(_InOrder):
     """One window per player: how many passed, how many did not, and the first of those."""
 
-    WAITING = "at bigint, turn int, seq bigint, row string"
-    ORDER = ["at", "turn", "seq"]
+    WAITING = "key string, at bigint, turn bigint, seq bigint, row string"
 
-    def __init__(self, keys: list[str], limit: int, width: int, origin: int):
-        self.keys, self.limit, self.width, self.origin = keys, limit, width, origin
+    def __init__(self, limit: int, width: int, origin: int):
+        self.limit, self.width, self.origin = limit, width, origin
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.window = handle.getValueState("window", "bucket bigint, used bigint, dropped bigint, row string")
+        self.windows = Held(handle, "windows", "key string, bucket bigint, used bigint, dropped bigint, row string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if key[-1].startswith("player:"):
-            return super().handleInputRows(key, rows, timerValues)
-        return (pd.DataFrame([self._out(key, row) for row in frame["x_row"]]) for frame in rows if len(frame))
-
-    def _out(self, key, row, start=None, dropped=None) -> dict:
-        return dict(zip(self.keys, key), _row=row, _start=start, dropped=dropped)
-
-    def _ends(self, bucket: int) -> int:
-        return (bucket + 1) * self.width + self.origin
-
-    def due(self) -> int | None:
-        return self._ends(self.window.get()[0]) if self.window.exists() else None
-
-    def taken(self, key, rows: pd.DataFrame, passed: int) -> list[dict]:
-        state, out = (list(self.window.get()) if self.window.exists() else None), []
-        buckets = (rows["at"].to_numpy(dtype=np.int64) - self.origin) // self.width
-        for bucket in np.unique(buckets).tolist():
-            own = rows["row"][buckets == bucket].tolist()
-            if state and state[0] != bucket:
-                out += self._report(key, state)
-                state = None
-            state = state or [bucket, 0, 0, None]
-            room = max(0, self.limit - state[1])
-            out += [self._out(key, row) for row in own[:room]]
-            state[1] += min(room, len(own))
-            if len(own) > room:
-                state[2] += len(own) - room
-                state[3] = state[3] or own[room]
-        if state and self._ends(state[0]) <= passed:
-            out += self._report(key, state)
-            state = None
-        if state:
-            self.window.update(tuple(state))
-        else:
-            self.window.clear()
-        return out
-
-    def _report(self, key, state) -> list[dict]:
-        return [self._out(key, state[3], state[0] * self.width + self.origin, state[2])] if state[2] else []
-
-
-def _fold(events: DataFrame, keys: list[str], gap: float, hold: float, sums: list[str], delay: str) -> DataFrame:
+        """Rows without a player pass."""
+        players = []
+        for frame in rows:
+            free = frame["x_key"].isna()
+            if free.any():
+                yield self._out(frame["x_row"][free])
+            players.append(frame[~free])
+        yield from super().handleInputRows(key, iter(players), timerValues)
+
+    def _out(self, rows, start=None, dropped=None) -> pd.DataFrame:
+        return pd.DataFrame({"_row": rows, "_start": start, "dropped": dropped}).astype(object)
+
+    def taken(self, rows: pd.DataFrame, passed: int) -> tuple[pd.DataFrame, int | None]:
+        windows = self.windows.get()
+        bucket = (numbers(rows["at"]) - self.origin) // self.width
+        rows = rows.assign(bucket=bucket).sort_values(["key", "bucket", "at", "turn", "seq"], kind="stable", ignore_index=True)
+        known = rows[["key", "bucket"]].merge(windows[["key", "bucket", "used"]], on=["key", "bucket"], how="left")["used"]
+        place = rows.groupby(["key", "bucket"], sort=False).cumcount().to_numpy() + known.fillna(0).to_numpy(dtype=np.int64)
+        over = place >= self.limit
+        offered = rows.assign(used=~over, dropped=over).groupby(["key", "bucket"], as_index=False, sort=False)[["used", "dropped"]].sum()
+        least = rows[over].drop_duplicates(["key", "bucket"])[["key", "bucket", "row"]]
+        fresh = offered.merge(least, on=["key", "bucket"], how="left")
+        both = pd.concat([windows, fresh.astype({"used": "Int64", "dropped": "Int64", "bucket": "Int64"})], ignore_index=True)
+        merged = both.groupby(["key", "bucket"], as_index=False, sort=False).agg({"used": "sum", "dropped": "sum", "row": "first"})
+        ends = (numbers(merged["bucket"]) + 1) * self.width + self.origin
+        ended = ends <= passed
+        self.windows.put(merged[~ended])
+        told = merged[ended & (numbers(merged["dropped"]) > 0)]
+        out = [self._out(rows["row"][~over]),
+               self._out(told["row"], numbers(told["bucket"]) * self.width + self.origin, told["dropped"])]
+        return _stacked(out), int(ends[~ended].min()) if not ended.all() else None
+
+
+def _fold(events: DataFrame, keys: list[str], gap: float, hold: float, sums: list[str], delay: str, groups: int) -> DataFrame:
     """Folded rows of a stream with `admit_at` as their event time; events must have a time."""
     schema, columns = events.schema, events.columns
     narrow = events.withWatermark("received_at", delay).select(
-        *keys, "received_at", F.unix_micros("received_at").alias("x_at"),
+        group_of(keys, groups).alias("_group"), key_text(keys).alias("x_key"), "received_at", F.unix_micros("received_at").alias("x_at"),
         F.coalesce(F.col("arrival_seq").cast("bigint"), F.lit(-(2**62))).alias("x_seq"),
         F.unix_micros("occurred_at").alias("x_occurred"), F.to_json(F.struct(*columns), TEXT_TIME).alias("x_row"),
         *[F.col(name).cast("string").alias(f"x_v{i}") for i, name in enumerate(sums)])
-    folded = narrow.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Fold(keys, sums, round(gap * MICROS), round(hold * MICROS)), outputMode="Append", timeMode="EventTime",
+    folded = narrow.groupBy("_group").transformWithStateInPandas(
+        statefulProcessor=_Fold(sums, round(gap * MICROS), round(hold * MICROS)), outputMode="Append", timeMode="EventTime",
         eventTimeColumnName="admit_at", outputStructType=T.StructType([
-            *[T.StructField(name, schema[name].dataType) for name in keys],
             T.StructField("_row", T.StringType()), T.StructField("is_rollup", T.BooleanType()), T.StructField("admit_at", T.TimestampType()),
             T.StructField("repeats", T.LongType()), T.StructField("_from", T.LongType()), T.StructField("_until", T.LongType()),
             *[T.StructField(f"_sum_{name}", T.StringType()) for name in sums]]))
@@ -265,33 +190,35 @@ def _fold(events: DataFrame, keys: list[str], gap: float, hold: float, sums: lis
 
 
 def shape_stream(events: DataFrame, gap: float = fixed.GAP_SECONDS, max_hold: float = fixed.HOLD_SECONDS,
-                 limit: int = fixed.PLAYER_LIMIT, window: float = fixed.LIMIT_SECONDS, delay: str = "1 minute") -> DataFrame:
+                 limit: int = fixed.PLAYER_LIMIT, window: float = fixed.LIMIT_SECONDS, delay: str = "1 minute",
+                 groups: int = GROUPS) -> DataFrame:
     """Canonical events of a stream, folded, capped and with the reports of what the cap dropped, as one
     stream of canonical columns: `deliverable(*shape_events(events))` below the watermark.
 
     Events without a time pass as they are; those without a player are folded and pass the ceiling. The
-    limits must be positive. A run's first row, too, leaves once the watermark has passed it.
+    limits must be positive. A run's first row, too, leaves once the watermark has passed it. Keys and players
+    are dealt to `groups` groups, each with one entry of the state.
     """
     timed = events.filter(F.col("received_at").isNotNull())
-    folded = totals_into_data(_fold(with_fold_columns(timed), ["server_id", "fold_key"], gap, max_hold, list(SUMMED), delay))
+    folded = totals_into_data(_fold(with_fold_columns(timed), ["server_id", "fold_key"], gap, max_hold, list(SUMMED), delay, groups))
     rows = folded.select(*CANONICAL, "is_rollup", "admit_at")
     schema = T.StructType([rows.schema[name] for name in CANONICAL])
     source = F.col("actor.source")
-    free = F.concat(F.lit("free:"), F.pmod(F.xxhash64("event_id", "arrival_seq"), F.lit(FREE_KEYS)).cast("string"))
-    keys = ["server_id", "_who"]
+    # Rows without a player are dealt by what they are; nothing is kept for them.
+    dealt = F.when(source.isNotNull(), F.xxhash64("server_id", source)).otherwise(F.xxhash64("event_id", "arrival_seq"))
     offered = rows.select(
-        "server_id", F.coalesce(F.concat(F.lit("player:"), source.cast("string")), free).alias("_who"), "admit_at",
-        F.unix_micros("admit_at").alias("x_at"), (~F.col("is_rollup")).cast("int").alias("x_turn"),
+        F.pmod(dealt, F.lit(groups)).cast("int").alias("_group"),
+        F.when(source.isNotNull(), F.to_json(F.struct("server_id", source.cast("string").alias("player")))).alias("x_key"), "admit_at",
+        F.unix_micros("admit_at").alias("x_at"), (~F.col("is_rollup")).cast("bigint").alias("x_turn"),
         F.coalesce(F.col("arrival_seq").cast("bigint"), F.lit(-(2**62))).alias("x_seq"),
         F.to_json(F.struct(*CANONICAL), TEXT_TIME).alias("x_row"))
-    capped = offered.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_Ceiling(keys, limit, round(window * MICROS), 0), outputMode="Append", timeMode="EventTime",
+    capped = offered.groupBy("_group").transformWithStateInPandas(
+        statefulProcessor=_Ceiling(limit, round(window * MICROS), 0), outputMode="Append", timeMode="EventTime",
         outputStructType=T.StructType([
-            T.StructField("server_id", T.StringType()), T.StructField("_who", T.StringType()), T.StructField("_row", T.StringType()),
-            T.StructField("_start", T.LongType()), T.StructField("dropped", T.LongType())]))
+            T.StructField("_row", T.StringType()), T.StructField("_start", T.LongType()), T.StructField("dropped", T.LongType())]))
     parsed = capped.withColumns({"_r": F.from_json("_row", schema, TEXT_TIME), "window_start": F.timestamp_micros("_start")})
     shown = parsed.withColumns({
-        "source": F.col("_r.actor.source"), "actor": F.col("_r.actor"), "category": F.lit("security"),
+        "server_id": F.col("_r.server_id"), "source": F.col("_r.actor.source"), "actor": F.col("_r.actor"), "category": F.lit("security"),
         "action": F.lit("rate_limit_triggered"), "severity": F.lit("warning"), "reason": report_reason(F.col("dropped"), limit)})
     reported = report_columns(window)
     out = shown.select(*[
