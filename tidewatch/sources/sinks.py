@@ -62,7 +62,8 @@ def may_hold(ids: DataFrame, path: str) -> list[str]:
     if not live:
         return []
     index = spark.read.schema(INDEX).parquet(*[f"{path}/ids/{commit}" for commit in live])
-    wanted = ids.filter(F.col("event_id").isNotNull()).select(_fingerprint().alias("fingerprint")).distinct()
+    wanted = ids.filter(F.col("event_id").isNotNull()).select(_fingerprint().alias("fingerprint"))
+    # Not made distinct: a batch has few copies by now, and the join below has no use for it.
     few = [row[0] for row in wanted.limit(LOOKED_UP + 1).collect()]
     if len(few) <= LOOKED_UP:
         hits = index.filter(F.col("fingerprint").isin(few))
