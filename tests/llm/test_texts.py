@@ -209,6 +209,49 @@ def test_hot_host_is_split(spark, monkeypatch):
     assert got == {k: f"text of {k}" for k in range(30)} | {99: "text of 0"}
 
 
+def repeating(n, seed=3):
+    """Pages without an article, their own words beside notices that some of them, many or all have."""
+    rnd = random.Random(seed)
+    notices = [" ".join(f"n{k}x{i}" for i in range(8 + k)) for k in range(6)]
+    made = []
+    for k in range(n):
+        own = " ".join(f"w{rnd.randrange(400)}" for _ in range(rnd.randrange(0, 60)))
+        parts = [notices[j] for j in range(6) if rnd.random() < (1.0, 0.5, 0.2, 0.1, 0.05, 0.03)[j]]
+        made.append("".join(f"<div><p>{part}</p></div>" for part in rnd.sample([own, *parts], 1 + len(parts))))
+    return [*made, made[0], made[1], made[1]]
+
+
+def test_a_split_host_gives_what_it_gives_unsplit(spark, monkeypatch):
+    """What few pages of a host repeat is found whatever shares they are in, and counted over the whole host."""
+    df = pages(spark, repeating(120)).union(pages(spark, repeating(4, 8), "b.example"))
+    whole = collected(html.extract(df), "page_id", "text", "n_chars")
+    for size in (2, 7, 60):
+        monkeypatch.setattr(html, "TOGETHER", size)
+        assert collected(html.extract(df), "page_id", "text", "n_chars") == whole
+
+
+def test_a_notice_on_few_pages_of_a_split_host_goes(spark, monkeypatch):
+    monkeypatch.setattr(html, "TOGETHER", 2)
+    shared = "Read all about our ten best offers of the season and subscribe today for more"
+    own = [" ".join(f"p{k}w{i}" for i in range(40)) for k in range(40)]
+    bodies = [f"<div><p>{o}</p></div>" + (f"<div><p>{shared}</p></div>" if k % 13 == 0 else "") for k, o in enumerate(own)]
+    assert text_of(pages(spark, bodies)) == dict(enumerate(own))
+
+
+def test_runs_are_counted_whatever_they_are_packed_in():
+    words = [[f"w{k % 5}" for k in range(30)], [], ["a"], [f"w{k % 5}" for k in range(9)], [f"v{k}" for k in range(8)]]
+    where = {}
+    for k, own in enumerate(words):
+        for i in range(len(own) - 7):
+            where.setdefault(tuple(own[i:i + 8]), set()).add(k)
+    hashes, counts = html.on_pages(words)
+    assert sorted(counts.tolist()) == sorted(len(on) for on in where.values())
+    assert html.unpacked(html.packed(hashes)).tolist() == hashes.tolist() == sorted(set(hashes.tolist()))
+    assert [len(a) for a in html.on_pages([])] == [0, 0] and html.unpacked(html.packed(hashes[:0])).tolist() == []
+    page = html.parse("<main>a&nbsp;b\u2003c<div class=ad><p>x</div>\x1d y</main>")
+    assert html.read(html.written(page)) == page and html.read(html.written(html.Page())) == html.Page()
+
+
 @pytest.mark.parametrize("source", ["<", "<p", "<a b='", "</x></x>", "<p><p><b>a</p>b", "<div/>x", "<script>", "<!-- ", "&#x41;&bogus;", "a<br/>b", "\x00"])
 def test_broken_pages_do_not_fail(source):
     page = html.parse(source)
