@@ -79,6 +79,21 @@ def test_bounded_copy_limits_depth_keys_and_bytes(spark):
     assert got[2:] == [None, None]
 
 
+def test_bounded_copy_of_odd_values(spark):
+    long, quotes = "x" * 2047, '\\"' * 1030
+    odd = ['{"b":[1,null,"t",{"z":[],"a":{}},1.50],"a\\"":true,"\U0001F600":1,"\uFFEE":2}', '["a\\n",-0.0,1e3,null]', "null", '"t"', "7", "{}", "[]",
+           f'["{long}é","{long}y","{quotes}"]', '{"k":1,"k":2}', "[[[[[[1]]]]],2]"]
+    assert values(spark, fn.bounded_copy, *odd) == [
+        '{"a\\"":true,"b":[1,"t",{"a":{},"z":[]},1.5],"\uFFEE":2,"\U0001F600":1}', '["a\\n",0,1000.0,null]'.replace(",null", ""), None, '"t"', "7", "{}", "[]",
+        f'["{long}","{long}y","{quotes}"]', '{"k":2}', "[[[[[[]]]]],2]"]
+
+
+def test_a_computed_text_is_made_before_it_is_bounded(spark):
+    """Within the levels, which Spark interprets, it would be made by interpreted code."""
+    df = spark.range(1).select(F.concat(F.lit('{"a":'), F.col("id").cast("string"), F.lit("}")).alias("t")).select(fn.bounded_copy(F.col("t")).alias("v"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Project") == 2 and df.first().v == '{"a":0}'
+
+
 def test_slots_are_objects_or_numbers(spark):
     got = values(spark, fn.read_slot, '{"name":"water","count":2,"slot":3,"metadata":{}}', "7", '"8"', "true")
     assert [r["slot"] for r in got] == [3, 7, 8, None]

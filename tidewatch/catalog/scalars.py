@@ -135,8 +135,10 @@ def _nested(df):
     level = F.concat(F.lit('{"z":'), F.lit("#"), F.lit(',"a":"'), F.repeat("digest", 70), F.lit('"'), numbers, F.lit("}"))
     whole = F.lit("[null,7]")
     for _ in range(8):
-        whole = F.replace(level, F.lit("#"), whole)
-    return df.select("id", F.md5(fn.bounded_copy(whole)).alias("bounded"))
+        whole = F.replace(F.col("level"), F.lit("#"), whole)
+    # Steps of their own, so that a level and the whole are made once for each row.
+    texts = df.select("id", level.alias("level")).select("id", whole.alias("whole"))
+    return texts.select("id", F.md5(fn.bounded_copy(F.col("whole"))).alias("bounded"))
 
 
 NESTED_SQL = f"""
