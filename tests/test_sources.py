@@ -106,6 +106,48 @@ def test_tasks_hold_files_up_to_a_size(monkeypatch):
     assert sizes == [[40, 50], [20], [300], [10]]
 
 
+def test_spools_of_many_characters_are_replayed(spark, tmp_path):
+    # More than the 20,000,000 characters that Spark reads of a JSON string by default, less than the largest spool.
+    items = [{"payload": {"id": k, "text": "x" * 900_000}, "bytes": 900_040} for k in range(25)]
+    (tmp_path / "spool.json").write_text(snapshot({"v": 1, "queued": items}))
+    events, bad = snapshots.read_snapshots(spark, str(tmp_path / "*.json"))
+    assert [r.reason for r in bad.select("reason").collect()] == []
+    rows = events.select("position", "event_bytes", F.get_json_object("payload", "$.id").alias("id")).collect()
+    assert sorted(tuple(r) for r in rows) == [(k, 900_040, str(k)) for k in range(25)]
+
+
+def test_a_filter_on_the_reason_does_not_parse_files_anew(spark, tmp_path):
+    (tmp_path / "spool.json").write_text(snapshot({"v": 1, "queued": [ITEM]}))
+    for rows in snapshots.read_snapshots(spark, str(tmp_path / "*.json")):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1
+
+
+def test_files_are_dealt_over_the_tasks_wanted(monkeypatch):
+    monkeypatch.setattr(spools, "LEAST_TASK_BYTES", 20)
+    files = [(0, str(i), n) for i, n in enumerate((40, 50, 5, 5, 5, 45))]
+    assert [[f[2] for f in task.files] for task in spools._dealt(files, 3)] == [[40], [50], [5, 5, 5], [45]]
+    assert [len(task.files) for task in spools._dealt(files[2:5], 3)] == [3]
+
+
+@pytest.mark.parametrize("text,reason,payloads", [
+    ("[1,2]", "version", []),
+    ("null", "not_json", []),
+    ('{"v":1,"queued":{}}', None, []),
+    ('{"v":1,"queued":null}', "queue", []),
+    ('{"v":1,"queued":[{"payload":{},"bytes":3},null]}', "item", []),
+    ('{"v":1,"queued":[{"payload":{"b":1e5,"a":1.50},"bytes":2e1}]}', None, [('{"a":1.5,"b":100000}', 20)]),
+    ('{"v":1,"queued":[],"flight":null}', None, []),
+    ('{"v":1,"queued":[],"flight":{"body":{"events":[1]},"count":1}}', "flight", []),
+    ('{"v":1,"queued":[],"flight":{"body":"{\\"events\\":[1e2,null]}","count":2}}', None, [("100", None), ("null", None)]),
+])
+def test_snapshots_of_unusual_json(spark, tmp_path, text, reason, payloads):
+    (tmp_path / "spool.json").write_text(snapshot(text))
+    events, bad = snapshots.read_snapshots(spark, str(tmp_path / "*.json"))
+    assert [r.reason for r in bad.collect()] == ([reason] if reason else [])
+    assert [(r.payload, r.event_bytes) for r in events.orderBy("position").collect()] == payloads
+
+
 def test_writing_twice_stores_once(spark, tmp_path):
     at = datetime(2024, 1, 1)
     df = spark.createDataFrame([("s", "a", "money", at, 1), ("s", "a", "money", at, 2), ("s", "b", "staff", at, 3)],

@@ -22,8 +22,10 @@ from tidewatch import fixed
 
 SCHEMA = "path STRING, length BIGINT, modified BIGINT, reason STRING, content STRING"
 FORMAT = "spool"
-#: Files put into one task: as many as come to this many bytes, at least one.
+#: Files put into one task: as many as come to this many bytes, at least one. With the option `tasks` a task gets
+#: no more than its share of all bytes, but for small files.
 TASK_BYTES = 128 * 1024 * 1024
+LEAST_TASK_BYTES = 256 * 1024
 _WILD = re.compile(r"[*?\[]")
 
 
@@ -62,14 +64,16 @@ def _listed(path: str) -> list[tuple[int, str, int]]:
     return sorted(found)
 
 
-def _dealt(files: list[tuple[int, str, int]]) -> list[SpoolFiles]:
-    """Files in tasks of about TASK_BYTES."""
+def _dealt(files: list[tuple[int, str, int]], wanted: int = 1) -> list[SpoolFiles]:
+    """Files in tasks of about TASK_BYTES, or less where that makes about as many tasks as wanted."""
+    share = sum(file[2] for file in files) // wanted
+    most = min(TASK_BYTES, max(LEAST_TASK_BYTES, share))
     tasks: list[list] = []
     room = 0
     for file in files:
         if not tasks or file[2] > room:
             tasks.append([])
-            room = TASK_BYTES
+            room = most
         tasks[-1].append(file)
         room -= file[2]
     return [SpoolFiles(own) for own in tasks]
@@ -101,6 +105,7 @@ class _Reading:
     def __init__(self, options: dict):
         self.path = options["path"]
         self.most = int(options.get("maxBytes", fixed.MAX_SPOOL_BYTES))
+        self.tasks = int(options.get("tasks", 1))
 
     def read(self, partition: SpoolFiles) -> Iterator[tuple]:
         for modified, path, length in partition.files:
@@ -110,7 +115,7 @@ class _Reading:
 
 class SpoolReader(_Reading, DataSourceReader):
     def partitions(self) -> list[SpoolFiles]:
-        return _dealt(_listed(self.path))
+        return _dealt(_listed(self.path), self.tasks)
 
 
 class SpoolStreamReader(_Reading, DataSourceStreamReader):
@@ -134,7 +139,7 @@ class SpoolStreamReader(_Reading, DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[SpoolFiles]:
         first, last = ((offset["modified"], offset["path"]) for offset in (start, end))
-        return _dealt([file for file in _listed(self.path) if first < file[:2] <= last])
+        return _dealt([file for file in _listed(self.path) if first < file[:2] <= last], self.tasks)
 
     def commit(self, end: dict) -> None:
         pass
