@@ -136,15 +136,16 @@ def snapshot_rows(files: DataFrame) -> DataFrame:
     good = F.col("reason").isNull()
     bad = F.array(F.lit(None)).cast(_EVENTS)
     # A good file's content is dropped before its events would each carry it.
-    rows = parsed.withColumn("content", F.when(~good, F.col("content"))).select("path", "reason", "content", F.posexplode(
+    rows = parsed.withColumn("content", F.when(~good, F.col("content"))).select("path", "reason", "content", "first", F.posexplode(
         F.when(good, _replay()).otherwise(bad)).alias("position", "_event"))
     return rows.select(
-        "path", "reason", F.when(good, F.col("position")).alias("position"), *_event_columns(),
+        "path", "reason", F.when(good, F.col("first") + F.col("position")).alias("position"), *_event_columns(),
         good.alias("recovered"), "content")
 
 
 def read_snapshots(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(events to replay, quarantined files with their reason). A bad file is kept whole."""
+    """(events to replay, quarantined files with their reason). A bad file is kept whole, one of more than
+    MAX_SPOOL_BYTES where it is, without content here."""
     rows = snapshot_rows(_files(spark.read, spark, path))
     events = rows.filter("recovered").drop("reason", "content")
     return events, rows.filter("NOT recovered").select("path", "reason", "content")
