@@ -31,6 +31,8 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 STEP = 16
 #: Bits of a filter (2 MB), words of one row of the coded texts, distinct words a task keeps before it starts anew.
 FILTER_BITS, CHUNK, DISTINCT = 24, 1 << 13, 1 << 17
+#: Words that are worked on at once, about; rows of coded texts (64 KB) read at once, and bytes of a block of them on disk.
+AT_ONCE, ROWS, BLOCK = 1 << 17, 128, 16 << 20
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_BREAKS, b"\xff" * len(_BREAKS))
 _STOP = b"\xff"
@@ -183,12 +185,20 @@ def coded_texts(docs: DataFrame, known: np.ndarray, salt: str, lang_col: str = "
     return rows.mapInArrow(of, "lang string, codes binary")
 
 
-def _codes_in(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
-    """The coded texts of a batch, those of one language one after another; each row ends with 0."""
+def _codes_in(batch: pa.RecordBatch, at_once: int = AT_ONCE) -> Iterator[tuple[str, np.ndarray]]:
+    """The coded texts of a batch, those of one language one after another, in arrays of no more than about
+    `at_once` words, so that what a pass holds does not grow with the phrases that it keeps; each row ends with 0."""
     langs = batch.column("lang").to_pylist()
     arrays = [np.frombuffer(value.as_buffer(), np.uint64) for value in batch.column("codes")]
     for lang in dict.fromkeys(langs):
-        yield lang, np.concatenate([own for own, other in zip(arrays, langs, strict=True) if other == lang])
+        held, length = [], 0
+        for own in (own for own, other in zip(arrays, langs, strict=True) if other == lang):
+            if held and length + len(own) > at_once:
+                yield lang, np.concatenate(held)
+                held, length = [], 0
+            held.append(own)
+            length += len(own)
+        yield lang, np.concatenate(held)
 
 
 def _grown(lang: str, codes: np.ndarray, filters: list[np.ndarray], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -317,12 +327,12 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     descending, then by phrase (bytes). A null text has no words; a null language is `und`; repeated rows all
     count; other columns are ignored; no rows, or no phrase frequent enough, give no rows.
     """
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, rows=ROWS):
         words, salt = _coded_words(stored(word_counts(docs, lang_col, text_col)))
         sizes = stored(words.groupBy("lang").agg(F.sum("f").alias("n")))
         words = stored(words.where(F.col("f") >= least).select("lang", "h", "word", "f"))
         singles = words.select("lang", F.array("h").alias("words"), F.col("f").alias("a"))
-        coded = stored(coded_texts(docs, _bits(_phrase_hashes(singles)), salt, lang_col, text_col))
+        coded = stored(coded_texts(docs, _bits(_phrase_hashes(singles)), salt, lang_col, text_col), BLOCK)
         open_langs, found, extra = sizes, [], []
         low, high = 0, least * STEP
         while True:

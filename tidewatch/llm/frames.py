@@ -36,28 +36,33 @@ def scratch(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, block: int | None = None) -> DataFrame:
     """The rows written once to the shared folder and read from there, so that lost executors and
-    second readers cost no second computation. Use it for narrow rows."""
+    second readers cost no second computation. Use it for narrow rows, or with `block`, the bytes that a task
+    holds while it writes or reads them."""
     folder = scratch(df.sparkSession)
-    df.write.parquet(folder)
+    writer = df.write if block is None else df.write.option("parquet.block.size", block)
+    writer.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 @contextmanager
-def small_batches(spark: SparkSession, most: int = 4 << 20) -> Iterator[None]:
+def small_batches(spark: SparkSession, most: int = 4 << 20, rows: int | None = None) -> Iterator[None]:
     """Batches of at most so many bytes go to Python for what runs inside: rows that are long texts or arrays
-    otherwise come ten thousand at a time, whatever their length."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(most))
+    otherwise come ten thousand at a time, whatever their length. With `rows` files are read so many rows at a time."""
+    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": most, "spark.sql.parquet.columnarReaderBatchSize": rows}
+    wanted = {name: value for name, value in wanted.items() if value is not None}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def name_key(column: Column) -> Column:
